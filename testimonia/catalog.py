@@ -1,0 +1,6 @@
+"""All queries of the core, with their SQL where SQL can say the same."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+SQL: dict = {}
