@@ -1,0 +1,37 @@
+"""Neighbours and carried values in ordered rows, without one task per group.
+
+A group (a document, a video) can hold a third of all rows, so no window here spans a group. Rows are cut into blocks
+of ``size`` order values; windows run inside a block, and a table with one row per block carries values across.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+
+def with_block(df: DataFrame, order: str, size: int) -> DataFrame:
+    """Adds ``_blk``; a null order value falls into a block of its own, before all others."""
+    return df.withColumn("_blk", F.coalesce(F.floor(F.col(order) / F.lit(size)), F.lit(-(2**62))).cast("long"))
+
+
+def following(df: DataFrame, part: list[str], order: str, value: Column, out: str, n: int = 1, size: int = 2048) -> DataFrame:
+    """Adds ``out``, an array of ``value`` of up to ``n`` rows that follow in the same ``part`` by ``order``.
+
+    Rows with equal order values follow each other by the value. An empty table gives an empty table; null parts are
+    a group of their own.
+    """
+    df = with_block(df, order, size).withColumn("_v", F.struct(F.col(order).alias("o"), value.alias("v")))
+    keys = [*part, "_blk"]
+    w = Window.partitionBy(*keys).orderBy("_v")
+    first = df.groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list("_v")), 1, n).alias("_first"))
+    across = Window.partitionBy(*part).orderBy("_blk")
+    after = F.flatten(F.filter(F.array(*[F.lead("_first", i).over(across) for i in range(1, n + 1)]), lambda x: x.isNotNull()))
+    first = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.slice(after, 1, n).alias("_next"))
+    df = df.withColumn("_in", F.filter(F.array(*[F.lead("_v", i).over(w) for i in range(1, n + 1)]), lambda x: x.isNotNull()))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    df = df.join(first, cond, "left")
+    both = F.slice(F.concat("_in", F.coalesce("_next", F.slice("_in", 1, 0))), 1, n)
+    return df.withColumn(out, F.transform(both, lambda x: x["v"])).drop("_blk", "_v", "_in", "_next", *[f"_k{i}" for i in range(len(keys))])
