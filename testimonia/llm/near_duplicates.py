@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from testimonia.llm.scans import HYPHENS, page_body, prepared, with_known_edges, _known_of
+from testimonia.llm.scans import HYPHENS, _known_of, distinct_pages, page_body, with_known_edges
 from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
@@ -86,7 +86,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 def page_words(pages: DataFrame) -> DataFrame:
     """Per page with running words: doc_id, page_no, blk, words (joined by blanks) and whether the last word is cut."""
-    pages, sent = with_known_edges(prepared(pages))
+    pages, sent = with_known_edges(distinct_pages(pages), pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = sent.value if sent is not None else None
@@ -99,7 +99,7 @@ def page_words(pages: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_()))], ["doc_id", "page_no", "blk", "words", "cut"])
 
-    rows = pages.where("doc_id is not null").select("doc_id", F.col("page_no").cast("int").alias("page_no"), "text", "known")
+    rows = pages.where("doc_id is not null").select("doc_id", "page_no", "text", "known")
     return rows.mapInArrow(run, "doc_id string, page_no int, blk int, words string, cut boolean")
 
 

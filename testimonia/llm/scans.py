@@ -59,18 +59,35 @@ def numbered_lines(text: str) -> list[tuple[int, str]]:
     return [(i, s) for i, x in enumerate(text.split("\n"), 1) if (s := x.rstrip())]
 
 
-def edge_forms(lines: list[tuple[int, str]]) -> list[tuple[int, int]]:
-    """(line number, hash of its folded form) of the lines near the edges; lines that are a number alone have no form."""
+def edge_lines(text: str) -> list[tuple[int, str]]:
+    """The first EDGE and the last EDGE of the non-blank lines, with their numbers."""
+    lines = text.split("\n")
+    top: list[tuple[int, str]] = []
+    for i, x in enumerate(lines, 1):
+        if x and not x.isspace():
+            top.append((i, x))
+            if len(top) == EDGE:
+                break
+    end, low = (top[-1][0] if top else 0), []
+    for i in range(len(lines), end, -1):
+        x = lines[i - 1]
+        if x and not x.isspace():
+            low.append((i, x))
+            if len(low) == EDGE:
+                break
+    return top + low[::-1]
+
+
+def edge_forms(near: list[tuple[int, str]]) -> list[tuple[int, int]]:
+    """(line number, hash of its folded form) of edge lines; lines that are a number alone have no form."""
     import xxhash
 
-    near = lines if len(lines) <= 2 * EDGE else [*lines[:EDGE], *lines[-EDGE:]]
     folded = ((no, fold(x)) for no, x in near)
     return [(no, xxhash.xxh64_intdigest(f) - (1 << 63)) for no, f in folded if len(f) > 1]
 
 
-def furniture_numbers(lines: list[tuple[int, str]], page_no: int | None) -> list[int]:
+def furniture_numbers(lines: list[tuple[int, str]], near: set[int], page_no: int | None) -> list[int]:
     """Numbers of pages near an edge, and of lines, in tens, anywhere; also if their figures are misread as letters."""
-    near = {no for no, _ in (lines if len(lines) <= 2 * EDGE else [*lines[:EDGE], *lines[-EDGE:]])}
     out = []
     for no, x in lines:
         if len(x) < 24 and _NUMBER.fullmatch(x) and not _NO_NUMBER.fullmatch(x):
@@ -88,9 +105,9 @@ def is_open(line: str) -> bool:
 
 def page_body(text: str, page_no: int | None, known) -> tuple[list[int], list[tuple[int, str]]]:
     """(numbers of furniture lines, running lines); ``known`` says whether a form is furniture."""
-    lines = numbered_lines(text)
-    gone = {no for no, f in edge_forms(lines) if known(no, f)}
-    gone.update(furniture_numbers(lines, page_no))
+    lines, near = numbered_lines(text), edge_lines(text)
+    gone = {no for no, f in edge_forms(near) if known(no, f)}
+    gone.update(furniture_numbers(lines, {no for no, _ in near}, page_no))
     return sorted(gone), [(no, x) for no, x in lines if no not in gone]
 
 
@@ -98,11 +115,16 @@ def furniture_forms(pages: DataFrame) -> DataFrame:
     """``form``: hashes of folded lines that stand near the edge on most pages of documents of three pages or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for b in batches:
-            forms = [sorted({f for _, f in edge_forms(numbered_lines(t))}) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(forms, pa.list_(pa.int64()))], ["doc_id", "f"])
+            texts = b.column(2).to_pylist()
+            forms = [sorted({f for _, f in edge_forms(edge_lines(t))}) for t in texts]
+            prints = [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints, pa.int64()), pa.array(forms, pa.list_(pa.int64()))], ["doc_id", "page_no", "print", "f"])
 
-    e = pages.select("doc_id", "text").mapInArrow(run, "doc_id string, f array<bigint>")
+    e = pages.select("doc_id", F.col("page_no").cast("long").alias("page_no"), "text").where("text is not null").mapInArrow(run, "doc_id string, page_no long, print long, f array<bigint>")
+    e = e.dropDuplicates(["doc_id", "page_no", "print"])
     # one aggregate gives both: the number of a document's pages stands under a null form
     per_doc = e.where("size(f) > 0").select("doc_id", F.explode(F.concat("f", F.array(F.lit(None).cast("long")))).alias("form")).groupBy("doc_id", "form").agg(F.count("*").alias("n"))
     sizes = per_doc.where("form is null and n >= 3").select("doc_id", F.col("n").alias("n_pages"))
@@ -111,15 +133,15 @@ def furniture_forms(pages: DataFrame) -> DataFrame:
     return forms.where("n >= 4 and n >= 0.5 * of").select("form")
 
 
-def with_known_edges(pages: DataFrame) -> tuple[DataFrame, object]:
+def with_known_edges(pages: DataFrame, source: DataFrame) -> tuple[DataFrame, object]:
     """Pages with ``known`` (line numbers known to be furniture, or null), and the known forms if they are few enough to be sent."""
-    forms = written(furniture_forms(pages), "forms")
+    forms = written(furniture_forms(source), "forms")
     if forms.count() <= BROADCAST_FORMS:
         return pages.withColumn("known", F.lit(None).cast("array<int>")), pages.sparkSession.sparkContext.broadcast({r[0] for r in forms.collect()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(d, p, no, f) for d, p, t in zip(*(b.column(i).to_pylist() for i in range(3))) for no, f in edge_forms(numbered_lines(t))]
+            rows = [(d, p, no, f) for d, p, t in zip(*(b.column(i).to_pylist() for i in range(3))) for no, f in edge_forms(edge_lines(t))]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.int64()))], ["_d", "_p", "no", "form"])
 
@@ -136,13 +158,13 @@ def _known_of(row_known, forms):
     return lambda no, f: no in numbers
 
 
-BODY = "doc_id string, page_no long, furniture array<int>, nos array<int>, lines array<string>, cuts array<struct<no:int,head:string,tail:string>>, first string"
+BODY = "doc_id string, page_no long, furniture array<int>, nos array<int>, lines string, cuts array<struct<no:int,head:string,tail:string>>, first string"
 
 
 def running_pages(pages: DataFrame) -> DataFrame:
-    """Per page: furniture (line numbers); nos and lines, the running lines, in lower case and without words cut by their
-    start or end; cuts, the cut words (tail null where the page ends); first, the first running word."""
-    pages, sent = with_known_edges(pages)
+    """Per page: furniture (line numbers); nos and lines, the running lines (one string, split at line
+    feeds), in lower case and without words cut by their start or end; cuts, the cut words (tail null where the page ends); first, the first running word."""
+    pages, sent = with_known_edges(distinct_pages(pages), pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = sent.value if sent is not None else None
@@ -167,16 +189,16 @@ def running_pages(pages: DataFrame) -> DataFrame:
                     nos.append(no)
                     lines.append(now)
                 first = _TAIL.match(body[0][1].lower()) if body else None
-                out.append((d, p, gone, nos, lines, cuts, first[1] if first else None))
+                out.append((d, p, gone, nos, "\n".join(lines), cuts, first[1] if first else None))
             if out:
-                types = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.struct([("no", pa.int32()), ("head", pa.string()), ("tail", pa.string())])), pa.string())
+                types = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.list_(pa.struct([("no", pa.int32()), ("head", pa.string()), ("tail", pa.string())])), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "page_no", "furniture", "nos", "lines", "cuts", "first"])
 
-    return pages.select("doc_id", F.col("page_no").cast("int").alias("page_no"), "text", "known").mapInArrow(run, BODY)
+    return pages.select("doc_id", "page_no", "text", "known").mapInArrow(run, BODY)
 
 
 def word_counts(body: DataFrame) -> DataFrame:
-    words = body.select(F.explode(F.regexp_extract_all(F.array_join("lines", "\n"), F.lit(WORD), F.lit(0))).alias("w"))
+    words = body.select(F.explode(F.regexp_extract_all("lines", F.lit(WORD), F.lit(0))).alias("w"))
     return words.groupBy("w").agg(F.count("*").alias("n"))
 
 
@@ -203,9 +225,9 @@ def misread_words(words: DataFrame) -> DataFrame:
     return pairs.where(here).groupBy("w").agg(F.max_by("right", F.struct("m", "right")).alias("right"))
 
 
-def prepared(pages: DataFrame) -> DataFrame:
-    """Distinct pages (doc_id, page_no, text), written once: several passes read them."""
-    return written(pages.select("doc_id", "page_no", "text").where("text is not null").distinct(), "pages")
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """doc_id, page_no, text (and known) of the distinct pages with a text; one exchange."""
+    return pages.where("text is not null").select("doc_id", F.col("page_no").cast("int").alias("page_no"), "text").distinct()
 
 
 def cut_words(body: DataFrame) -> DataFrame:
@@ -229,25 +251,31 @@ def broken_words(cuts: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def faults(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_no, line_no, fault, word, right) of all pages; fault is furniture, broken_word or misread.
+    """(doc_id, page_no, line_no, fault, word, right) of all pages, one row a line; fault is furniture, broken_word or misread.
 
     ``pages``: doc_id, page_no, text; other columns are not read. Null, empty and blank pages have no lines; a page
     delivered twice counts once; two texts under one number are two pages. A line has one fault: furniture before
     broken_word before misread. An empty table gives no rows.
     """
-    body = written(running_pages(prepared(pages)), "body")
+    body = written(running_pages(pages), "body")
     words = written(word_counts(body), "words")
     bad = written(misread_words(words), "misread")
-    furniture = body.select("doc_id", "page_no", F.explode("furniture").alias("line_no"), F.lit(1).alias("rank"), F.lit("furniture").alias("fault"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("right"))
-    broken = broken_words(cut_words(body), words).select("doc_id", "page_no", F.col("no").alias("line_no"), F.lit(2).alias("rank"), F.lit("broken_word").alias("fault"), "word", F.lit(None).cast("string").alias("right"))
-    known = words.join(bad, "w", "left_anti").orderBy(F.desc("n"), "w").limit(KNOWN_WORDS).select(F.col("w").alias("word"))
-    lines = body.select("doc_id", "page_no", F.explode(F.arrays_zip("nos", "lines")).alias("l"))
-    tokens = lines.select("doc_id", "page_no", F.col("l.nos").alias("line_no"), F.explode(F.regexp_extract_all(F.col("l.lines"), F.lit(WORD), F.lit(0))).alias("word"))
-    unsure = tokens.join(F.broadcast(known), "word", "left_anti")  # bounded by KNOWN_WORDS
-    misread = unsure.join(bad, unsure["word"] == bad["w"]).select("doc_id", "page_no", "line_no", F.lit(3).alias("rank"), F.lit("misread").alias("fault"), "word", "right")
-    every = furniture.unionByName(broken).unionByName(misread)
+    none = F.lit(None).cast("string")
+    # two texts under one page number are rare; their furniture is one set of line numbers
+    by_page = body.where("size(furniture) > 0").groupBy("doc_id", "page_no").agg(F.array_distinct(F.flatten(F.collect_list("furniture"))).alias("furniture"))
+    furniture = by_page.select("doc_id", "page_no", F.explode("furniture").alias("line_no"), F.lit("furniture").alias("fault"), none.alias("word"), none.alias("right"))
+    broken = broken_words(cut_words(body), words).select("doc_id", "page_no", F.col("no").alias("line_no"), F.lit(2).alias("rank"), F.lit("broken_word").alias("fault"), "word", none.alias("right"))
+    lines = body.select("doc_id", "page_no", F.explode(F.arrays_zip("nos", F.split("lines", "\n", -1).alias("lines"))).alias("l"))
+    tokens = lines.select("doc_id", "page_no", F.col("l.nos").alias("line_no"), F.explode(F.regexp_extract_all(F.col("l.lines"), F.lit(WORD), F.lit(0))).alias("w"))
+    if bad.count() <= BROADCAST_FORMS:
+        hits = tokens.join(F.broadcast(bad), "w")
+    else:
+        known = words.join(bad, "w", "left_anti").orderBy(F.desc("n"), "w").limit(KNOWN_WORDS).select("w")
+        hits = tokens.join(F.broadcast(known), "w", "left_anti").join(bad, "w")  # bounded by KNOWN_WORDS
+    misread = hits.select("doc_id", "page_no", "line_no", F.lit(3).alias("rank"), F.lit("misread").alias("fault"), F.col("w").alias("word"), "right")
     best = F.min(F.struct("rank", "fault", "word", "right"))
-    return every.groupBy("doc_id", "page_no", "line_no").agg(best.alias("b")).select("doc_id", "page_no", F.col("line_no").cast("long").alias("line_no"), "b.fault", "b.word", "b.right")
+    running = broken.unionByName(misread).groupBy("doc_id", "page_no", "line_no").agg(best.alias("b")).select("doc_id", "page_no", "line_no", "b.fault", "b.word", "b.right")
+    return furniture.unionByName(running).withColumn("line_no", F.col("line_no").cast("long"))
 
 
 def p2_found(spark: SparkSession, directory: str) -> DataFrame:
