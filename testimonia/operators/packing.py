@@ -1,0 +1,43 @@
+"""Order-dependent folds: turns into passages, cues into segments."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+MAX_CHARS = 1800
+
+
+def _pack(limit: int, joint: str):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out, text, first, last, speakers = [], "", None, None, []
+
+        def flush() -> None:
+            if text:
+                out.append((key[0], len(out), text, first, last, speakers[:]))
+
+        for pos, part, speaker in pdf.sort_values(["pos", "text"])[["pos", "text", "speaker"]].itertuples(index=False):
+            for piece in [part[i : i + limit] for i in range(0, len(part), limit)]:
+                if text and len(text) + len(joint) + len(piece) > limit:
+                    flush()
+                    text, first, speakers = "", None, []
+                text = text + joint + piece if text else piece
+                first, last = pos if first is None else first, pos
+                if speaker and speaker not in speakers:
+                    speakers.append(speaker)
+        flush()
+        return pd.DataFrame(out, columns=["doc_id", "chunk_index", "text", "first_pos", "last_pos", "speakers"])
+
+    return run
+
+
+def pack(rows: DataFrame, limit: int = MAX_CHARS, joint: str = "\n") -> DataFrame:
+    """Rows (doc_id, pos, speaker, text) of each document packed greedily, in order, to at most ``limit`` characters.
+
+    A longer row is cut. Null and empty texts are left out.
+    """
+    rows = rows.where("text <> ''").select("doc_id", "pos", "speaker", "text")
+    return rows.groupBy("doc_id").applyInPandas(_pack(limit, joint), "doc_id string, chunk_index long, text string, first_pos long, last_pos long, speakers array<string>")
+
+
+__all__ = ["MAX_CHARS", "pack"]
