@@ -30,6 +30,8 @@ REGION = 8
 BLOCK = 256
 #: Pages of a document that are hashed together, and parts into which a document's set is cut for verification.
 PAGES, BUCKETS = 256, 8
+#: A side of a join that has been counted and has at most so many rows is sent to all executors.
+SENT_ROWS = 60_000
 _CUT, _SIGNS = re.compile(rf"(?<=\w)[{HYPHENS}]\s*\n\s*"), re.compile(r"[^\w\s]|_")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,164 +71,180 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 2**32, k, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**32, k, dtype=np.uint64)
 
 
+_A, _B = (x.astype(np.uint32) for x in _permutations())
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """TREES * DEPTH minimum hashes of 32 bits (as signed numbers); the largest value where there is nothing."""
-    a, b = _permutations()
-    low = np.empty(len(a), np.uint32)
-    x = np.unique(hashes)
-    x = ((x ^ (x >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    a32, b32 = a.astype(np.uint32), b.astype(np.uint32)
-    for i in range(len(a)):
-        y = x * a32[i] + b32[i]
-        y ^= y >> np.uint32(15)
-        y *= np.uint32(0x85EBCA6B)
-        low[i] = y.min() if len(y) else 0xFFFFFFFF
+    """TREES * DEPTH minimum hashes of 32 bits; the largest value where there is nothing."""
+    low = np.full(len(_A), 0xFFFFFFFF, np.uint32)
+    x = ((hashes ^ (hashes >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    for i in range(0, len(x), 1024):  # pieces that stay in the cache
+        low = np.minimum(low, (x[i : i + 1024, None] * _A + _B).min(axis=0))
     return low
 
 
-def page_words(pages: DataFrame) -> DataFrame:
-    """Per page with running words: doc_id, page_no, blk, words (joined by blanks) and whether the last word is cut."""
-    pages, sent = with_known_edges(distinct_pages(pages), pages)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms = sent.value if sent is not None else None
-        for b in batches:
-            out = []
-            for d, p, t, k in zip(*(b.column(i).to_pylist() for i in range(4))):
-                words, cut = running_words([x for _, x in page_body(t, p, _known_of(k, forms))[1]])
-                if words:
-                    out.append((d, p, (p or 0) // PAGES, " ".join(words), cut))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_()))], ["doc_id", "page_no", "blk", "words", "cut"])
-
-    rows = pages.where("doc_id is not null").select("doc_id", "page_no", "text", "known")
-    return rows.mapInArrow(run, "doc_id string, page_no int, blk int, words string, cut boolean")
-
-
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[str]]]:
-    """(doc_id, blk, words) of the blocks of pages in rows sorted by doc_id, blk, page_no."""
-    now, words, cut = None, [], False
-    for b in batches:
-        for d, k, t, c in zip(*(b.column(n).to_pylist() for n in ("doc_id", "blk", "words", "cut"))):
-            if (d, k) != now:
-                if now is not None:
-                    yield (*now, words)
-                now, words, cut = (d, k), [], False
-            w = t.split(" ")
-            if cut and words:
-                words[-1] += w.pop(0)
-            words += w
-            cut = c
-    if now is not None:
-        yield (*now, words)
+def sketch(sig: np.ndarray) -> list[int]:
+    """One bit of each minimum hash, in words of 64: two documents agree in a share (1 + J) / 2 of them."""
+    bits = np.zeros(-(-len(sig) // 64) * 64, np.uint8)
+    mixed = sig * np.uint32(0x9E3779B1)
+    bits[: len(sig)] = (mixed >> np.uint32(31)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64).tolist()
 
 
 def _hashed(words: list[str], known: dict) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def _blocks(words: DataFrame) -> DataFrame:
-    return words.select("doc_id", "blk", "page_no", "words", "cut").repartition("doc_id", "blk").sortWithinPartitions("doc_id", "blk", "page_no", "words")
+PART = "doc_id string, blk int, n long, xor long, sum long, sig array<int>, sketch array<bigint>, words string, cut boolean"
+_PART_TYPES = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.string(), pa.bool_()]
 
 
-def signatures(words: DataFrame) -> DataFrame:
-    """doc_id, n (sequences, at most), print (a fingerprint of the set) and sig, of each document with words.
+def block_parts(pages: DataFrame) -> DataFrame:
+    """Per document and block of PAGES pages: size, fingerprint and signature of its sequences, and its words (joined by blanks).
 
-    Blocks of pages are hashed by themselves; those of a longer document are joined, with the sequences that cross them.
+    One exchange by (document, block) serves to drop repeated pages, to order them and to read words across pages.
     """
+    keyed = pages.where("doc_id is not null and text is not null").select("doc_id", F.col("page_no").cast("int").alias("page_no"), "text")
+    keyed = keyed.withColumn("blk", F.coalesce(F.floor(F.col("page_no") / PAGES), F.lit(-1)).cast("int")).repartition("doc_id", "blk").distinct()
+    keyed, sent = with_known_edges(keyed, pages)
+    keyed = keyed.select("doc_id", "page_no", "text", "known", "blk").repartition("doc_id", "blk") if sent is None else keyed
+    keyed = keyed.select("doc_id", "page_no", "text", "known", "blk").sortWithinPartitions("doc_id", "blk", "page_no", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, out = WordHashes(), []
-        names = ["doc_id", "blk", "n", "xor", "sum", "sig", "head", "tail"]
-        types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.string())]
-        for d, k, w in _block_words(batches):
-            h = np.unique(sequence_hashes(_hashed(w, known)))
-            out.append((d, k, len(h), int(np.bitwise_xor.reduce(h).view(np.int64)), int(h.sum(dtype=np.uint64).view(np.int64)), signature(h).view(np.int32), w[: WORDS - 1], w[-(WORDS - 1) :]))
+        forms = sent.value if sent is not None else None
+        hashes, out = WordHashes(), []
+        now, words, cut = None, [], False
+
+        def part() -> tuple:
+            h = np.unique(sequence_hashes(_hashed(words, hashes)))
+            sig = signature(h)
+            return (*now, len(h), int(np.bitwise_xor.reduce(h).view(np.int64)), int(h.sum(dtype=np.uint64).view(np.int64)), sig.view(np.int32), sketch(sig), " ".join(words), cut)
+
+        for b in batches:
+            for d, p, t, k, blk in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if (d, blk) != now:
+                    if words:
+                        out.append(part())
+                    now, words, cut = (d, blk), [], False
+                w, c = running_words([x for _, x in page_body(t, p, _known_of(k, forms))[1]])
+                if w:
+                    if cut and words:
+                        words[-1] += w.pop(0)
+                    words += w
+                    cut = c
             if len(out) >= 256:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _PART_TYPES)], _PART_NAMES)
                 out = []
+        if words:
+            out.append(part())
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _PART_TYPES)], _PART_NAMES)
+
+    return keyed.mapInArrow(run, PART)
+
+
+_PART_NAMES = [c.split(" ")[0] for c in PART.split(", ")]
+
 
-    parts = _blocks(words).mapInArrow(run, "doc_id string, blk int, n long, xor long, sum long, sig array<int>, head array<string>, tail array<string>")
-    parts = written(parts, "signatures")
+def signatures(parts: DataFrame) -> DataFrame:
+    """doc_id, print (a fingerprint of the set), sig and sketch of each document, from its blocks.
+
+    A document of several blocks has the minima of their signatures; it is compared by its words and never taken as
+    equal to another by its fingerprint.
+    """
     several = written(parts.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"), "several")
-    cols = ["doc_id", "n", F.struct(F.col("n"), F.col("xor"), F.col("sum")).alias("print"), "sig"]
-    single = parts.join(several, "doc_id", "left_anti").select(*cols)
-    # documents of more than one block: their sequences across blocks, then the minimum of all signatures
-    long = parts.join(several, "doc_id")
-    w = Window.partitionBy("doc_id").orderBy("blk")
-    bridge = long.withColumn("nh", F.lead("head").over(w)).where("nh is not null").select("doc_id", F.concat("tail", "nh").alias("words"))
-
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+    single = parts.join(several, "doc_id", "left_anti").select("doc_id", F.struct("n", "xor", "sum").alias("print"), "sig", "sketch")
+    long = parts.join(several, "doc_id").select("doc_id", "sig")
+    lows = long.select("doc_id", F.posexplode("sig").alias("i", "v")).groupBy("doc_id", "i").agg(F.min(F.expr("v + 0L + if(v < 0, 4294967296L, 0L)")).alias("v"))
+    signed = F.expr("transform(sort_array(collect_list(struct(i, v))), x -> cast(if(x.v >= 2147483648L, x.v - 4294967296L, x.v) as int))")
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sigs = [signature(sequence_hashes(_hashed(x, known))).view(np.int32) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "sig"])
+            rows = [sketch(np.array(x, np.int32).view(np.uint32)) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "sig", "sketch"])
 
-    sigs = long.select("doc_id", "sig").unionByName(bridge.mapInArrow(cross, "doc_id string, sig array<int>"))
-    lows = sigs.select("doc_id", F.posexplode("sig").alias("i", "v")).groupBy("doc_id", "i").agg(F.min(F.expr("v + 0L + if(v < 0, 4294967296L, 0L)")).alias("v"))
-    signed = F.expr("transform(sort_array(collect_list(struct(i, v))), x -> cast(if(x.v >= 2147483648L, x.v - 4294967296L, x.v) as int))")
-    joined = lows.groupBy("doc_id").agg(signed.alias("sig"))
-    totals = long.groupBy("doc_id").agg(F.sum("n").alias("n"), F.bit_xor("xor").alias("xor"), F.sum(F.pmod("sum", F.lit(2**40))).alias("sum"))
-    # a long document's fingerprint is its own name: it is compared, never taken as equal
-    longs = joined.join(totals, "doc_id").select("doc_id", "n", F.struct(F.lit(-1).cast("long").alias("n"), F.xxhash64("doc_id").alias("xor"), F.col("sum")).alias("print"), "sig")
-    return single.unionByName(longs)
+    joined = lows.groupBy("doc_id").agg(signed.alias("sig")).mapInArrow(sketched, "doc_id string, sig array<int>, sketch array<bigint>")
+    own = F.struct(F.lit(-1).cast("long").alias("n"), F.xxhash64("doc_id").alias("xor"), F.xxhash64("doc_id", F.lit(1)).alias("sum"))
+    return single.unionByName(joined.select("doc_id", own.alias("print"), "sig", "sketch"))
 
 
 def forest_pairs(reps: DataFrame) -> DataFrame:
     """Distinct candidate pairs (a < b) of ``reps`` (id long, sig) from the sorted orders of all trees."""
     prefix = lambda d: F.xxhash64(F.col("t"), *[F.get("sig", F.col("t") * DEPTH + i) for i in range(d)])
     depths = range(LEAST_DEPTH, DEPTH + 1)
-    rows = reps.select("id", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"), "sig")
-    rows = rows.select("id", *[prefix(d).alias(f"p{d}") for d in depths])
+    rows = reps.select("id", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"), "sig").select("id", *[prefix(d).alias(f"p{d}") for d in depths])
     out = []
-    for d in depths:
-        if d == DEPTH:
-            break
-        # sizes are counted first; a region's members are collected only where they are few
-        sizes = rows.groupBy(f"p{d}").agg(F.count("*").alias("c")).where("c > 1")
-        marked = written(rows.join(sizes, f"p{d}"), f"depth{d}")
-        out.append(marked.where(F.col("c") <= REGION).groupBy(f"p{d}").agg(F.sort_array(F.collect_set("id")).alias("ids")).select("ids"))
-        rows = marked.where(F.col("c") > REGION).drop("c", f"p{d}")
+    for d in range(LEAST_DEPTH, DEPTH):
+        p = f"p{d}"
+        # sizes are counted first, before any members are collected; a region of two is known by its ends
+        sizes = written(rows.groupBy(p).agg(F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b")).where("c > 1"), p)
+        out.append(sizes.where("c = 2 and a < b").select("a", "b"))
+        more = rows.join(sizes.where("c > 2").select(p, "c"), p)
+        few = more.where(F.col("c") <= REGION).groupBy(p).agg(F.sort_array(F.collect_set("id")).alias("ids"))
+        out.append(few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode(F.expr("filter(ids, x -> x > a)")).alias("b")))
+        rows = written(more.where(F.col("c") > REGION).drop("c", p), f"rest{d}")
     last = f"p{DEPTH}"
     # regions still full: blocks of BLOCK members, every block against itself and those after it
-    part = rows.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 20)))
-    sizes = part.groupBy(last).agg(F.count("*").alias("c")).where("c > 1")
-    part = part.join(sizes, last).withColumn("n_b", F.ceil(F.col("c") / BLOCK)).withColumn("b", F.pmod("h", "n_b"))
+    sizes = rows.groupBy(last).agg(F.count("*").alias("c")).where("c > 1")
+    part = rows.join(sizes, last).withColumn("n_b", F.ceil(F.col("c") / BLOCK)).withColumn("b", F.pmod(F.xxhash64("id"), "n_b"))
     blocks = part.groupBy(last, "b").agg(F.sort_array(F.collect_set("id")).alias("ids"), F.first("n_b").alias("n_b"))
     left = blocks.withColumn("o", F.explode(F.sequence(F.col("b"), F.col("n_b") - 1)))
     both = left.alias("l").join(blocks.alias("r"), (F.col(f"l.{last}") == F.col(f"r.{last}")) & (F.col("l.o") == F.col("r.b")))
     full = both.select(F.explode("l.ids").alias("x"), F.col("r.ids").alias("ys")).select("x", F.explode("ys").alias("y"))
-    full = full.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = full
+    pairs = full.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     for few in out:
-        pairs = pairs.unionByName(few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode(F.expr("filter(ids, x -> x > a)")).alias("b")))
+        pairs = pairs.unionByName(few)
     return pairs.distinct()
 
 
-def verified(pairs: DataFrame, ids: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast if it has been counted and is small; else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
+def likely(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sketches do not exclude the similarity: six standard errors below it count as excluded."""
+    k = TREES * DEPTH
+    agree = (1 + similarity) / 2
+    most = int((1 - agree) * k + 6 * (agree * (1 - agree) * k) ** 0.5)
+    s = reps.select("id", "sketch")
+    a, b = s.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), s.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
+    differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(-(-k // 64))), F.lit(0))
+    return pairs.join(_small(a), "a").join(_small(b), "b").where(differ <= most).select("a", "b")
+
+
+def verified(pairs: DataFrame, ids: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
     """(a, b, similarity) of the pairs whose exact Jaccard similarity is at least ``similarity``; ``ids``: id, doc_id."""
     asked = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(ids, "id"), "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, names = WordHashes(), ["doc_id", "bucket", "hs"]
-        types = [pa.string(), pa.int32(), pa.list_(pa.int64())]
-        out: list[tuple] = []
-        for d, _, w in _block_words(batches):
-            h = np.unique(sequence_hashes(_hashed(w, known)))
+        known, names = WordHashes(), ["id", "bucket", "hs"]
+        types = [pa.int64(), pa.int32(), pa.list_(pa.int64())]
+        now, words, cut = None, [], False
+
+        def sets() -> pa.RecordBatch:
+            h = np.unique(sequence_hashes(_hashed(words, known)))
             at = (h >> np.uint64(61)).astype(np.int32)
-            out += [(d, i, h[at == i].view(np.int64)) for i in range(BUCKETS)]
-            if len(out) >= 512:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+            rows = [(now, i, h[at == i].view(np.int64)) for i in range(BUCKETS)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    # sequences across blocks of PAGES pages belong to the set too: a long document's blocks are taken in one piece here
-    mine = words.join(asked.select("doc_id", "id"), "doc_id").select("doc_id", F.lit(0).alias("blk"), "page_no", "words", "cut")
-    mine = mine.repartition("doc_id").sortWithinPartitions("doc_id", "page_no", "words")
-    sets = written(mine.mapInArrow(run, "doc_id string, bucket int, hs array<bigint>").join(asked, "doc_id").select("id", "bucket", "hs"), "sets")
+        for b in batches:
+            for i, t, c in zip(*(b.column(n).to_pylist() for n in ("id", "words", "cut"))):
+                if i != now:
+                    if now is not None:
+                        yield sets()
+                    now, words, cut = i, [], False
+                w = t.split(" ")
+                if cut and words:
+                    words[-1] += w.pop(0)
+                words += w
+                cut = c
+        if now is not None:
+            yield sets()
+
+    mine = parts.select("doc_id", "blk", "words", "cut").join(_small(asked), "doc_id").select("id", "blk", "words", "cut")
+    mine = mine.repartition("id").sortWithinPartitions("id", "blk")
+    sets = written(mine.mapInArrow(run, "id long, bucket int, hs array<bigint>"), "sets")
     a, b = sets.select(F.col("id").alias("a"), "bucket", F.col("hs").alias("ha")), sets.select(F.col("id").alias("b"), "bucket", F.col("hs").alias("hb"))
     met = pairs.join(a, "a").join(b, ["b", "bucket"])
     met = met.select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("i"), (F.size("ha") + F.size("hb")).alias("s"))
@@ -241,13 +259,13 @@ def similar_documents(pages: DataFrame, similarity: float = SIMILARITY) -> tuple
     named by its smallest doc_id. Null texts and doc_ids, and documents without running words, have no class. Pages
     delivered twice count once; a null page number comes first. Empty tables give no rows.
     """
-    words = written(page_words(pages), "pagewords")
-    sigs = written(signatures(words), "documents")
-    reps = sigs.groupBy("print").agg(F.min_by(F.struct("doc_id", "sig", "n"), "doc_id").alias("r"))
-    reps = written(reps.select("r.doc_id", "r.sig", "r.n", "print", F.xxhash64("r.doc_id").alias("id")), "classes")
+    parts = written(block_parts(pages), "parts")
+    sigs = signatures(parts)
+    reps = sigs.groupBy("print").agg(F.min_by(F.struct("doc_id", "sig", "sketch"), "doc_id").alias("r"))
+    reps = written(reps.select("r.doc_id", "r.sig", "r.sketch", "print", F.xxhash64("r.doc_id").alias("id")), "classes")
     ids = reps.select("id", "doc_id")
-    pairs = written(forest_pairs(reps), "candidates")
-    good = verified(pairs, ids, words, similarity)
+    pairs = written(likely(forest_pairs(reps), reps, similarity), "candidates")
+    good = verified(pairs, ids, parts, similarity)
     a, b = ids.select(F.col("id").alias("a"), F.col("doc_id").alias("x")), ids.select(F.col("id").alias("b"), F.col("doc_id").alias("y"))
     links = good.join(a, "a").join(b, "b").select(F.least("x", "y").alias("class_a"), F.greatest("x", "y").alias("class_b"), "similarity")
     links = written(links, "links")

@@ -24,5 +24,5 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str = "t") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: lineage ends here, and a reader takes only the columns it needs."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
