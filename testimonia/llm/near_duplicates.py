@@ -23,7 +23,7 @@ from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
 WORDS, SIMILARITY = 3, 0.55
-TREES, DEPTH, LEAST_DEPTH = 32, 5, 3
+TREES, DEPTH, LEAST_DEPTH = 28, 6, 4
 #: Documents of a region that are compared with each other at less than the full depth.
 REGION = 8
 #: Documents of a full-depth region that one task compares with as many others.
@@ -32,15 +32,23 @@ BLOCK = 256
 PAGES, BUCKETS = 256, 8
 #: A side of a join that has been counted and has at most so many rows is sent to all executors.
 SENT_ROWS = 60_000
-_CUT, _SIGNS = re.compile(rf"(?<=\w)[{HYPHENS}]\s*\n\s*"), re.compile(r"[^\w\s]|_")
+_SIGNS = re.compile(r"[^\w\s]|_")
+_PLAIN_SIGNS = {ord(c): None for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def running_words(lines: list[str]) -> tuple[list[str], bool]:
     """Words of letters and digits only, in lower case, cut words joined; and whether the last one is cut by the end."""
-    text = "\n".join(lines).lower()
-    is_cut = len(text) > 1 and text[-1] in HYPHENS
-    return _SIGNS.sub("", _CUT.sub("", text)).split(), is_cut
+    out = []
+    for x in lines:
+        if len(x) > 1 and x[-1] in HYPHENS and x[-2].isalnum():
+            out.append(x[:-1])
+        else:
+            out.append(x)
+            out.append("\n")
+    is_cut = bool(out) and out[-1] != "\n"
+    text = "".join(out).lower()
+    return (text.translate(_PLAIN_SIGNS) if text.isascii() else _SIGNS.sub("", text)).split(), is_cut
 
 
 def sequence_hashes(words: np.ndarray, n: int = WORDS) -> np.ndarray:
@@ -84,11 +92,14 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch(sig: np.ndarray) -> list[int]:
-    """One bit of each minimum hash, in words of 64: two documents agree in a share (1 + J) / 2 of them."""
-    bits = np.zeros(-(-len(sig) // 64) * 64, np.uint8)
-    mixed = sig * np.uint32(0x9E3779B1)
-    bits[: len(sig)] = (mixed >> np.uint32(31)).astype(np.uint8)
-    return np.packbits(bits).view(np.int64).tolist()
+    """Two bits of each minimum hash, in words of 64, first all high bits, then all low ones: documents of similarity J
+    agree in both bits of a share J + (1 - J) / 4."""
+    out = []
+    for shift in (31, 30):
+        bits = np.zeros(-(-len(sig) // 64) * 64, np.uint8)
+        bits[: len(sig)] = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(shift)).astype(np.uint8) & 1
+        out += np.packbits(bits).view(np.int64).tolist()
+    return out
 
 
 def _hashed(words: list[str], known: dict) -> np.ndarray:
@@ -179,7 +190,7 @@ def forest_pairs(reps: DataFrame) -> DataFrame:
         # sizes are counted first, before any members are collected; a region of two is known by its ends
         sizes = written(rows.groupBy(p).agg(F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b")).where("c > 1"), p)
         out.append(sizes.where("c = 2 and a < b").select("a", "b"))
-        more = rows.join(sizes.where("c > 2").select(p, "c"), p)
+        more = rows.join(_small(sizes.where("c > 2").select(p, "c")), p)
         few = more.where(F.col("c") <= REGION).groupBy(p).agg(F.sort_array(F.collect_set("id")).alias("ids"))
         out.append(few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode(F.expr("filter(ids, x -> x > a)")).alias("b")))
         rows = written(more.where(F.col("c") > REGION).drop("c", p), f"rest{d}")
@@ -205,11 +216,13 @@ def _small(df: DataFrame) -> DataFrame:
 def likely(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose sketches do not exclude the similarity: six standard errors below it count as excluded."""
     k = TREES * DEPTH
-    agree = (1 + similarity) / 2
+    agree = similarity + (1 - similarity) / 4
     most = int((1 - agree) * k + 6 * (agree * (1 - agree) * k) ** 0.5)
     s = reps.select("id", "sketch")
     a, b = s.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), s.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(-(-k // 64))), F.lit(0))
+    n = -(-k // 64)
+    other = lambda i: F.col("sa")[i].bitwiseXOR(F.col("sb")[i])
+    differ = sum((F.bit_count(other(i).bitwiseOR(other(i + n))) for i in range(n)), F.lit(0))
     return pairs.join(_small(a), "a").join(_small(b), "b").where(differ <= most).select("a", "b")
 
 
