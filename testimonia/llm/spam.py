@@ -12,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,27 +57,30 @@ def features(text: str) -> tuple[int, float, float, float, float, float]:
     n = len(text)
     if not n:
         return 0, 0.0, 0.0, 0.0, 1.0, 0.3
-    rest = LINK.sub("\n", text)
-    linked = n - len(rest) + text.count("\n") * 0
-    words = [w.lower() for w in WORD.findall(PREFIX.sub("the ", rest))]
+    rest = LINK.sub("\n", text) if "/" in text or "#" in text or "»" in text or "](" in text else text
+    linked = n - len(rest)
+    # a prefix before a hyphen counts as a function word of its own
+    parts = BREAK.split(PREFIX.sub("the ", rest).lower())
+    found = [WORD.findall(p) for p in parts]
+    words = list(chain.from_iterable(found))
     counts = Counter(words)
     total = len(words)
     content = {w: c for w, c in counts.items() if w not in FUNCTION_WORDS}
     pairs = Counter(zip(words, words[1:]))
     repeated = sum(c for p, c in pairs.items() if c > 2 and (p[0] in content or p[1] in content)) / max(1, total - 1)
-    entropy = -sum(c / total * math.log(c / total) for c in counts.values()) / math.log(total) if total > 1 else 1.0
+    entropy = (math.log(total) - sum(c * math.log(c) for c in counts.values() if c > 1) / total) / math.log(total) if total > 1 else 1.0
     function = 1 - sum(content.values()) / total if total else 0.0
     # words that stand out in this document: much more frequent than content words are in texts of its length
     often = max(3, 0.03 * total)
     heavy = {w for w, c in content.items() if c >= often}
     listed = 0
-    for part in BREAK.split(rest):
-        own = [w.lower() for w in WORD.findall(PREFIX.sub("the ", part))]
+    for part, own in zip(parts, found):
         if not own:
             listed += len(part) if linked else 0
             continue
-        fw = sum(w in FUNCTION_WORDS for w in own) / len(own)
-        hv = sum(w in heavy for w in own) / len(own)
+        k = len(own)
+        fw = sum(w not in content for w in own) / k
+        hv = sum(w in heavy for w in own) / k if heavy else 0.0
         if (fw < 0.12 and not part.rstrip().endswith(":")) or hv >= 0.45 or (hv >= 0.25 and fw < 0.3):
             listed += len(part) + 1
     return n, min(1.0, max(0.0, linked / n)), min(1.0, (linked + listed) / n), repeated, entropy, function
