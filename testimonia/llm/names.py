@@ -1,7 +1,7 @@
 """Variant spellings of names, linked to the entities they mean.
 
 Each distinct writing is brought to a few comparable forms (title and surname, initial and surname, given name and
-surname, words of an organisation in several orders). Forms that equal a form of an entity are found by a hash join.
+surname, the whole writing for aliases, words of an organisation in several orders). Forms that equal a form of an entity are found by a hash join.
 The others go through a pigeonhole join: a form of an entity is cut into three segments, one of which survives any
 single slip (a letter more, less or another, or two exchanged), so that substrings of the writing, shifted by at most
 one place, find it in an inverted index of segments; a banded edit distance verifies what is found.
@@ -55,6 +55,17 @@ def bare(text: str) -> str:
     return re.sub(r"\s*-\s+|\s+-\s*", "-", t.strip(" ,;:\"'"))
 
 
+def alias_forms(text: str) -> list[tuple[str, str, str, str]]:
+    """The whole writing, title included, as written and with a part after a comma first; ``fixed`` is the first word."""
+    parts = [p.strip() for p in bare(text).split(",") if p.strip()]
+    out = []
+    for order in (parts, parts[::-1]) if len(parts) == 2 else (parts,):
+        words = [w for p in order for w in _SPLIT.split(p.replace("-", "").replace("'", "")) if w]
+        if words:
+            out.append(("alias", "", words[0], "".join(words)))
+    return out
+
+
 def person_forms(text: str) -> list[tuple[str, str, str, str]]:
     """(kind, title, fixed, key) of a person's name as written: ``fixed`` must agree exactly, but for a given name, ``key`` may have a slip."""
     t = bare(text)
@@ -84,6 +95,7 @@ def person_forms(text: str) -> list[tuple[str, str, str, str]]:
             if not swapped:
                 out.append(("full", title, words[-1], words[-1] + "".join(words[:-1])))
         out.append(("title", title, title, joined) if title else ("bare", "", "", joined))
+    out += [(kind, title, fixed, key) for kind, _, fixed, key in alias_forms(text)]
     return out
 
 
@@ -145,6 +157,17 @@ def entity_forms(entities: list[dict]) -> list[tuple[str, str, str, str, str, st
             out.add((i, "person", "init", title, given[0][0], surname))
             for g in {given[0], "".join(given), *nick.get(given[0], ())}:
                 out.add((i, "person", "full", title, g, g + surname))
+    # aliases as written that the name does not give, where one person has them; the others are found by the forms above
+    have = {(i, kind, fixed, key) for i, _, kind, _, fixed, key in out}
+    owners: dict[str, set[tuple[str, str]]] = {}
+    for e in entities:
+        for a in (e["aliases"] or []) if e["entity_type"] == "person" else []:
+            for _, _, fixed, key in alias_forms(a or "")[:1]:
+                given_by_name = any((e["entity_id"], k, f, x) in have for k, _, f, x in person_forms(a))
+                owners.setdefault(key, set()).add((e["entity_id"], "" if given_by_name else fixed))
+    for key, has in owners.items():
+        if len({i for i, _ in has}) == 1:
+            out.update((i, "person", "alias", "", fixed, key) for i, fixed in has if fixed)
     for e in entities:
         i, kind = e["entity_id"], e["entity_type"]
         names = [n for n in [e["name"], *(e["aliases"] or [])] if n and n.strip()]
@@ -232,18 +255,22 @@ def resolve(writings: DataFrame, entities: DataFrame) -> DataFrame:
     forms = written(forms_of(w), "writings")
     same = (F.col("type") == F.col("e_type")) & (F.col("kind") == F.col("e_kind")) & (F.col("fixed") == F.col("e_fixed"))
     cols = ["type", "writing", "title", "entity_id", "e_title"]
-    full_ok = (F.col("kind") == "full") & (F.col("type") == F.col("e_type")) & (F.col("e_kind") == "full")
-    exact_named = forms.where("kind <> 'full'").join(hint(e), same & (F.col("key") == F.col("e_key")))
-    exact_full = forms.where("kind = 'full'").join(hint(e.where("e_kind = 'full'")), full_ok & (F.col("key") == F.col("e_key")))
+    loose = "kind in ('full', 'alias')"  # the first word may have the slip
+    full_ok = (F.col("kind") == F.col("e_kind")) & (F.col("type") == F.col("e_type"))
+    exact_named = forms.where(f"not {loose}").join(hint(e), same & (F.col("key") == F.col("e_key")))
+    exact_full = forms.where(loose).join(hint(e.where(f"e_{loose}")), full_ok & (F.col("key") == F.col("e_key")))
     exact = written(exact_named.select(*cols).unionByName(exact_full.select(*cols)).withColumn("slips", F.lit(0)).distinct(), "exact")
     rest = forms.join(exact.select("type", "writing").distinct(), ["type", "writing"], "left_anti")
     index = segments(e.where("e_kind <> 'acronym'"))
     hit = probes(rest).join(hint(index), ["e_len", "seg", "part"])
-    hit = hit.where((F.col("type") == F.col("e_type")) & (F.col("kind") == F.col("e_kind")) & ((F.col("kind") == "full") | (F.col("fixed") == F.col("e_fixed"))))
+    hit = hit.where((F.col("type") == F.col("e_type")) & (F.col("kind") == F.col("e_kind")) & (F.expr(loose) | (F.col("fixed") == F.col("e_fixed"))))
     hit = hit.select(*cols, "kind", "fixed", "key", "e_fixed", "e_key").distinct().withColumn("slips", one_slip(F.col("key"), F.col("e_key"))).where("slips is not null")
     known = e.where("e_kind = 'full'").select(F.col("e_fixed").alias("known")).distinct()
-    other = (F.col("kind") == "full") & (F.col("fixed") != F.col("e_fixed"))
+    other = F.expr(loose) & (F.col("fixed") != F.col("e_fixed"))
     hit = hit.join(hint(known), F.col("fixed") == F.col("known"), "left").where(~(other & F.col("known").isNotNull()))
+    # in an alias, a title or an initial is no slip of another one
+    head = lambda c: (F.length(c) < 2) | F.upper(c).isin(sorted(TITLES))
+    hit = hit.where(~((F.col("kind") == "alias") & (F.col("fixed") != F.col("e_fixed")) & (head("fixed") | head("e_fixed"))))
     found = exact.unionByName(hit.select(*cols, "slips").distinct())
     fits = ((F.col("title") != "") & (F.col("title") == F.col("e_title"))).cast("int")
     level = F.struct(F.col("slips"), (-fits).alias("f"))

@@ -111,6 +111,13 @@ def test_p6_names(spark):
     assert got == {**{k: v for k, v in cases.items() if v}, "C.D.R.S.": "o:a", "Railway Surveillance, Central Division of": "o:a", "Centr. Div. for Railway Surveillance": "o:a", "Kolridge": "l:a"}
 
 
+def test_p6_aliases_that_the_name_does_not_give(spark):
+    e = spark.createDataFrame([("p:c", "Justice Orla Emaskinuma", "person", ["CHAIRPERSON", "THE CHAIRPERSON", "The Boss", None]), ("p:n", "Lt-Gen Nat Wye", "person", ["GENERAL WYE", "The Boss"]), ("p:k", "Mr Pat Wye", "person", None)], "entity_id string, name string, entity_type string, aliases array<string>")
+    cases = {"CHAIRPERSON": "p:c", "Chairperson:": "p:c", "the  Chairperson": "p:c", "Chairperson, The": "p:c", "Chairpreson": "p:c", "THE CHAIRPERSN": "p:c", "General Wye": "p:n", "The Boss": None, "Chair": None, "Mr Wye": "p:k", "Wye": None}
+    w = spark.createDataFrame([("person", k) for k in cases], "type string, writing string")
+    assert {r["writing"]: r["entity_id"] for r in names.resolve(w, e).collect()} == {k: v for k, v in cases.items() if v}
+
+
 def test_p7_pairs_against_brute_force(spark):
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(400)]
