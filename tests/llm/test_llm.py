@@ -138,6 +138,20 @@ def test_p7_pairs_against_brute_force(spark):
     assert nd.similar_documents(df.limit(0))[0].count() == 0
 
 
+def test_p7_recall_among_many_versions(spark):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    texts = [np.where(rng.random(400) < 0.05, rng.integers(0, 2**63, 400, dtype=np.uint64), base) for _ in range(120)]
+    hashes = [nd.sequence_hashes(w) for w in texts]
+    sets = [set(h.tolist()) for h in hashes]
+    reps = spark.createDataFrame([(i, nd.signature(np.unique(h)).view(np.int32).tolist()) for i, h in enumerate(hashes)], "id long, sig array<int>")
+    got = {(r["a"], r["b"]) for r in nd.forest_pairs(reps).collect()}
+    near = [(a, b) for a in range(120) for b in range(a + 1, 120) if 0.55 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.65]
+    recall = sum(p in got for p in near) / len(near)
+    print(len(near), recall)
+    assert len(near) > 2000 and recall >= 0.97
+
+
 def test_p8_ids_are_exact(spark):
     tiktoken, P = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
