@@ -24,6 +24,8 @@ BLOCK = 64
 MIN_COUNT, MIN_LIFT = 4, 5
 #: Degree tables larger than this would be no tables of degrees; they have one row per distinct count.
 MAX_DEGREES = 200_000
+#: Distinct tails up to this number are broadcast, their number being counted first; more are shuffled.
+SENT_TAILS = 60_000
 
 
 def item_name(c):
@@ -112,11 +114,12 @@ def log10_tail(k: int, probs: np.ndarray, mult: np.ndarray) -> float:
     return min(0.0, (math.log(tail) + log_scale) / math.log(10))
 
 
-def surprising_pairs(members: DataFrame, min_count: int = MIN_COUNT, min_lift: float = MIN_LIFT) -> DataFrame:
+def surprising_pairs(members: DataFrame, min_count: int = 1, min_lift: float = 0.0) -> DataFrame:
     """:func:`pair_counts` with expected (under the null), log10_p and q_value.
 
     Members with a null record or item are dropped, repeats count once, empty tables give no rows. q values count all
-    possible pairs of items as tests; p values are grouped at a thousandth of log10 p, rounded against the pair.
+    possible pairs of items as tests, ranked over the pairs that the limits leave: with the defaults all pairs that occur,
+    which alone gives the Benjamini-Hochberg values. p values are grouped at a thousandth of log10 p, rounded against the pair.
     """
     members = written(members.select("record", "item").where("record is not null and item is not null").distinct(), "members")
     pairs = written(pair_counts(members, min_count, min_lift), "pairs")
@@ -130,21 +133,21 @@ def surprising_pairs(members: DataFrame, min_count: int = MIN_COUNT, min_lift: f
     x_of = dict(zip(di.astype(int).tolist(), x.tolist()))
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple] = {}
         for b in batches:
-            na, nb, nab = (b.column(c).to_pylist() for c in ("n_a", "n_b", "n_ab"))
             out = []
-            for a, c, k in zip(na, nb, nab):
-                key = (min(a, c), max(a, c), k)
-                if key not in known:
-                    xa, xb = x_of[a], x_of[c]
-                    probs = (xa * y / (1 + xa * y)) * (xb * y / (1 + xb * y))
-                    known[key] = (float((probs * mr).sum()), log10_tail(k, probs, mr))
-                out.append(known[key])
+            for a, c, k in zip(*(b.column(i).to_pylist() for i in range(3))):
+                xa, xb = x_of[a], x_of[c]
+                probs = (xa * y / (1 + xa * y)) * (xb * y / (1 + xb * y))
+                out.append((float((probs * mr).sum()), log10_tail(k, probs, mr)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([o[0] for o in out], pa.float64()), pa.array([o[1] for o in out], pa.float64())], [*b.schema.names, "expected", "log10_p"])
 
-    schema = "item_a string, item_b string, n_a long, n_b long, n_ab long, n_records long, expected double, log10_p double"
-    scored = written(pairs.select("item_a", "item_b", "n_a", "n_b", "n_ab", "n_records").mapInArrow(tails, schema), "scored")
+    # a tail depends on the two degrees and the count alone: one row for all pairs that have them in common
+    low, high = F.least("n_a", "n_b").alias("_low"), F.greatest("n_a", "n_b").alias("_high")
+    kinds = pairs.select(low, high, F.col("n_ab").alias("_k")).distinct().mapInArrow(tails, "_low long, _high long, _k long, expected double, log10_p double")
+    kinds = written(kinds, "tails")
+    kinds = F.broadcast(kinds) if kinds.count() <= SENT_TAILS else kinds
+    keyed = pairs.select("item_a", "item_b", "n_a", "n_b", "n_ab", "n_records", low, high, F.col("n_ab").alias("_k"))
+    scored = written(keyed.join(kinds, ["_low", "_high", "_k"]).drop("_low", "_high", "_k"), "scored")
     scored = scored.withColumn("_bin", F.ceil(F.col("log10_p") * 1000))
     n_items = float(mi.sum())
     tests = max(1.0, n_items * (n_items - 1) / 2)
@@ -160,5 +163,5 @@ def p5_found(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p5_surprise(spark: SparkSession, directory: str) -> DataFrame:
-    """The pairs found, with expected counts, tails and q values."""
+    """All pairs that occur, with expected counts, tails and q values."""
     return surprising_pairs(memberships(spark, directory))

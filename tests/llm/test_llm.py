@@ -103,6 +103,26 @@ def test_p5_counts_and_tails(spark):
     assert co.surprising_pairs(df.limit(0)).count() == 0
 
 
+def test_p5_all_pairs_are_scored_and_ranked(spark):
+    rng = random.Random(8)
+    items = [f"i{i}" for i in range(40)]
+    rows = {(r, i) for r in range(300) for i in rng.sample(items, 4)} | {(r, x) for r in range(120) for x in ("often", "too")}
+    df = spark.createDataFrame(sorted(rows), "record int, item string")
+    got = co.surprising_pairs(df).collect()
+    of = {}
+    for r, i in rows:
+        of.setdefault(r, set()).add(i)
+    want = {(a, b) for s in of.values() for a in s for b in s if a < b}
+    assert len(got) == len(want) and {(r["item_a"], r["item_b"]) for r in got} == want
+    often = [r for r in got if (r["item_a"], r["item_b"]) == ("often", "too")]  # in over a third of the records, lift 2.5
+    assert often[0]["n_ab"] == 120 and often[0]["q_value"] < 1e-6
+    tests, ps, q = 42 * 41 / 2, sorted(10 ** r["log10_p"] for r in got), 1.0
+    for i in range(len(ps) - 1, -1, -1):
+        q = min(q, ps[i] * tests / (i + 1))
+        ps[i] = q
+    assert all(abs(a - b) <= 0.01 * b + 1e-300 for a, b in zip(sorted(r["q_value"] for r in got), ps))
+
+
 def test_p6_names(spark):
     e = spark.createDataFrame([("p:a", "Lt-Gen Samuel Trodathova", "person", ["Sam Trodathova"]), ("p:b", "Prof Victoria Trodathova", "person", None), ("p:c", "Col James Kvomeste", "person", [" "]), ("o:a", "Central Division of Railway Surveillance", "org", ["CDRS"]), ("l:a", "Kollridge", "place", [])], "entity_id string, name string, entity_type string, aliases array<string>")
     cases = {"Col Kvomeste": "p:c", "KVOMESTE, JAMES": "p:c", "j. kvomeste": "p:c", "Jmaes Kvomeste": "p:c", "COLONEL KVOMETSE": "p:c", "Trodathova": None, "Sam Trodathova": "p:a", "PROF. TRODATHOVA": "p:b", "Robert Kvomeste": None, "K. Kvomeste": None, "the witness": None, " ": None}
