@@ -510,3 +510,11 @@ def _(spark, d):
 @query("v3_parity", f"with {_DAYS} select (select count(distinct chunk_id) from d) as chunks, (select count(*) from mentions) >= 0 as ok")
 def _(spark, d):
     return _t(spark, d, "chunks").agg(F.countDistinct("chunk_id").alias("chunks"), F.lit(True).alias("ok"))
+
+
+@query("v3_point_parity", f"""with {_DAYS}, r as (select sha256, max(coalesce(superseded_by, '')) as s from registry where sha256 is not null group by sha256),
+k as (select d.chunk_id, r.sha256 is null as no_source, coalesce(r.s, '') = '' as active from d left join r on r.sha256 = d.doc_sha256),
+c as (select count(distinct chunk_id) as points, count(distinct chunk_id) filter (where active) as active_chunks, count(distinct chunk_id) filter (where no_source) as no_source from k)
+select points, active_chunks, no_source, points = active_chunks and no_source = 0 as ok from c""")
+def _(spark, d):
+    return G.point_parity(QUERIES["v4_payload"](spark, d), *_t(spark, d, "chunks", "registry"))

@@ -80,3 +80,13 @@ def cosine_top(points: DataFrame, query: list[float], k: int) -> DataFrame:
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
     score = dot(F.col("embedding"), q) / F.sqrt(dot(F.col("embedding"), F.col("embedding")) * dot(q, q))
     return points.withColumn("score", score).orderBy(F.desc("score"), "vec_id").limit(k)
+
+
+def point_parity(points: DataFrame, chunks: DataFrame, registry: DataFrame) -> DataFrame:
+    """One row: distinct points, chunks of documents that are not superseded, chunks without a source, and whether the first two are equal and the last is none."""
+    r = registry.where("sha256 is not null").groupBy(F.col("sha256").alias("doc_sha256")).agg(F.max(F.coalesce("superseded_by", F.lit(""))).alias("s"))
+    k = chunks.select("chunk_id", "doc_sha256").distinct().join(r, "doc_sha256", "left")
+    active = F.countDistinct(F.when(F.coalesce("s", F.lit("")) == "", F.col("chunk_id")))
+    k = k.agg(active.alias("active_chunks"), F.countDistinct(F.when(F.col("s").isNull(), F.col("chunk_id"))).alias("no_source"))
+    both = points.agg(F.countDistinct("point_id").alias("points")).crossJoin(k)  # one row each
+    return both.select("points", "active_chunks", "no_source", ((F.col("points") == F.col("active_chunks")) & (F.col("no_source") == 0)).alias("ok"))

@@ -39,6 +39,14 @@ def test_alias_resolution_blocks_shared_names(spark):
     assert got == {"General Wye": "p:n", "WYE": None, "SOLO": "p:s", "Commissioner  Wye": "p:j", "nps": "o:n", None: None}
 
 
+def test_point_parity_fails_where_points_are_missing_or_superseded(spark):
+    chunks = spark.createDataFrame([("c1", "a"), ("c1", "a"), ("c2", "a"), ("c3", "b")], "chunk_id string, doc_sha256 string")
+    reg = spark.createDataFrame([("a", None), ("b", "a")], "sha256 string, superseded_by string")
+    points = lambda *ids: spark.createDataFrame([(i,) for i in ids], "point_id string")
+    got = [tuple(graph.point_parity(points(*p), chunks, reg).first()) for p in (["p1", "p2"], ["p1", "p1"], ["p1", "p2", "p3"])]
+    assert got == [(2, 2, 0, True), (1, 2, 0, False), (3, 2, 0, False)]
+
+
 def test_merges(spark):
     old = spark.createDataFrame([(1, "a")], "k int, v string")
     new = spark.createDataFrame([(1, "b"), (2, "c"), (2, "d")], "k int, v string")
@@ -67,3 +75,10 @@ def test_sql_agrees(spark, name):
     order = sorted(sql.columns)
     want = sorted(map(str, sql.select(", ".join(f'"{c}"' for c in order)).fetchall()))
     assert sorted(map(str, (tuple(r) for r in mine.select(*order).collect()))) == want
+
+
+def test_point_parity_sql_agrees(spark):
+    con = duckdb.connect()
+    for t in ("registry", "chunks"):
+        con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    assert tuple(QUERIES["v3_point_parity"](spark, DATA).first()) == con.sql(SQL["v3_point_parity"]).fetchall()[0]
