@@ -93,8 +93,9 @@ def candidate_documents(registry: DataFrame) -> DataFrame:
 
 
 def shingles(pages: DataFrame, n: int = 10) -> DataFrame:
-    """Distinct hashed word sequences of each page's running text; a shorter page is one sequence."""
-    w = reflowed(pages).withColumn("w", F.split(F.lower("text"), " "))
+    """Distinct word sequences of each document's running text, across its pages; a shorter document is one sequence."""
+    p = reflowed(pages).select("doc_id", "page_no", "text", F.split(F.lower("text"), " ").alias("w"))
+    w = p.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_no", "text", "w"))).alias("p")).select("doc_id", F.flatten("p.w").alias("w"))
     hs = F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array(F.array_join("w", " ")))
     return w.select("doc_id", F.explode(hs).alias("s")).distinct()
 

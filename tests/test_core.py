@@ -47,6 +47,14 @@ def test_point_parity_fails_where_points_are_missing_or_superseded(spark):
     assert got == [(2, 2, 0, True), (1, 2, 0, False), (3, 2, 0, False)]
 
 
+def test_containment_does_not_depend_on_page_breaks(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(d, n, " ".join(words[i : i + size])) for d, size in (("a", 15), ("b", 7)) for n, i in enumerate(range(0, 60, size), 1)]
+    pages = spark.createDataFrame(rows, "doc_id string, page_no int, text string")
+    reg = spark.createDataFrame([("s", "a", 1, ""), ("s", "b", 1, "")], "commission_slug string, sha256 string, day_no int, hearing_date string")
+    assert tuple(corpus.containment(reg, pages).first()) == ("a", "b", 1.0, 1.0, True)
+
+
 def test_merges(spark):
     old = spark.createDataFrame([(1, "a")], "k int, v string")
     new = spark.createDataFrame([(1, "b"), (2, "c"), (2, "d")], "k int, v string")
