@@ -1,13 +1,19 @@
 """Near-duplicate documents by an LSH forest and exact verification.
 
 Each document's running words give its set of word sequences, of which a signature of TREES * DEPTH minimum hashes is
-kept. A tree sorts the documents by its DEPTH hashes; documents that share a prefix are neighbours in that order. The
-depth adapts to the region: where few documents share LEAST_DEPTH hashes, all of them are candidates for each other;
-where many do, the prefix is lengthened to DEPTH, and all that share it are candidates, worked on in blocks if they are
-many. A pair of similarity J is so found with 1 - (1 - J ** LEAST_DEPTH) ** TREES where few documents are alike, and with
-1 - (1 - J ** DEPTH) ** TREES in full regions (at 0.55: 0.9995 and 0.98). Documents with equal sets are compared once.
-
-Candidates are verified exactly: the sets, cut into buckets by hash, are joined bucket by bucket and intersections added.
+kept. Every tree is one sorted order of all documents, by DEPTH hashes of the signature. Documents whose longest common
+prefix in an order has all DEPTH hashes stand next to each other and form a region of it.
+
+The depth adapts to each region. Neighbours in a region of at most REGION documents are candidates for each other. A
+larger region is sorted anew in BRANCHES further orders, each by one more hash; a pair of similarity J is found again in
+BRANCHES * J of them on average, so pairs of J = 0.55 multiply (1.65) while pairs below a third die out. Where the orders
+do not part a region, its documents are alike, and all of them are compared, block by block. So no pair is given up
+because its region is full: at J = 0.55 a pair is missed with (1 - 0.55 ** DEPTH * 0.849) ** TREES = 0.002 at most,
+0.849 being the chance that a branching process with three trials of 0.55 never dies.
+
+Neighbours are compared by sketches of two bits a hash inside the task that holds the region, so that only likely pairs
+leave it. These are verified exactly: the sets, cut into buckets by hash, are joined bucket by bucket and intersections
+added. Documents with equal sets are compared once.
 """
 
 from __future__ import annotations
@@ -17,22 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from testimonia.llm.scans import HYPHENS, _known_of, distinct_pages, page_body, with_known_edges
 from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
 WORDS, SIMILARITY = 3, 0.55
-TREES, DEPTH, LEAST_DEPTH = 42, 4, 3
-#: Documents of a region that are compared with each other at less than the full depth.
-REGION = 8
-#: Documents of a full-depth region that one task compares with as many others.
-BLOCK = 256
+TREES, DEPTH, BRANCHES = 40, 3, 3
+#: Documents of a region that are compared with each other without a deeper order.
+REGION = 256
+#: Deeper orders of a full region; what is still full below them is compared whole.
+LEVELS = 8
+#: Documents of a region of alike documents that one task compares with as many others.
+BLOCK = 512
 #: Pages of a document that are hashed together, and parts into which a document's set is cut for verification.
 PAGES, BUCKETS = 256, 8
-#: A side of a join that has been counted and has at most so many rows is sent to all executors.
-SENT_ROWS = 60_000
 _SIGNS = re.compile(r"[^\w\s]|_")
 _PLAIN_SIGNS = {ord(c): None for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -180,51 +186,118 @@ def signatures(parts: DataFrame) -> DataFrame:
     return single.unionByName(joined.select("doc_id", own.alias("print"), "sig", "sketch"))
 
 
-def forest_pairs(reps: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a < b) of ``reps`` (id long, sig) from the sorted orders of all trees."""
-    prefix = lambda d: F.xxhash64(F.col("t"), *[F.get("sig", F.col("t") * DEPTH + i) for i in range(d)])
-    depths = range(LEAST_DEPTH, DEPTH + 1)
-    rows = reps.select("id", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"), "sig").select("id", *[prefix(d).alias(f"p{d}") for d in depths])
-    out = []
-    for d in range(LEAST_DEPTH, DEPTH):
-        p = f"p{d}"
-        # sizes are counted first, before any members are collected; a region of two is known by its ends
-        sizes = written(rows.groupBy(p).agg(F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b")).where("c > 1"), p)
-        out.append(sizes.where("c = 2 and a < b").select("a", "b"))
-        more = rows.join(_small(sizes.where("c > 2").select(p, "c")), p)
-        few = more.where(F.col("c") <= REGION).groupBy(p).agg(F.sort_array(F.collect_set("id")).alias("ids"))
-        out.append(few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode(F.expr("filter(ids, x -> x > a)")).alias("b")))
-        rows = written(more.where(F.col("c") > REGION).drop("c", p), f"rest{d}")
-    last = f"p{DEPTH}"
-    # regions still full: blocks of BLOCK members, every block against itself and those after it
-    sizes = rows.groupBy(last).agg(F.count("*").alias("c")).where("c > 1")
-    part = rows.join(sizes, last).withColumn("n_b", F.ceil(F.col("c") / BLOCK)).withColumn("b", F.pmod(F.xxhash64("id"), "n_b"))
-    blocks = part.groupBy(last, "b").agg(F.sort_array(F.collect_set("id")).alias("ids"), F.first("n_b").alias("n_b"))
-    left = blocks.withColumn("o", F.explode(F.sequence(F.col("b"), F.col("n_b") - 1)))
-    both = left.alias("l").join(blocks.alias("r"), (F.col(f"l.{last}") == F.col(f"r.{last}")) & (F.col("l.o") == F.col("r.b")))
-    full = both.select(F.explode("l.ids").alias("x"), F.col("r.ids").alias("ys")).select("x", F.explode("ys").alias("y"))
-    pairs = full.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    for few in out:
-        pairs = pairs.unionByName(few)
-    return pairs.distinct()
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if it has been counted and is small; else joined by shuffle."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
-
-
-def likely(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sketches do not exclude the similarity: six standard errors below it count as excluded."""
+def _most_apart(similarity: float, sigmas: float = 6.0) -> int:
+    """Positions in which two sketches may differ; six standard errors below the similarity count as excluded."""
     k = TREES * DEPTH
     agree = similarity + (1 - similarity) / 4
-    most = int((1 - agree) * k + 6 * (agree * (1 - agree) * k) ** 0.5)
-    s = reps.select("id", "sketch")
-    a, b = s.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), s.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    n = -(-k // 64)
-    other = lambda i: F.col("sa")[i].bitwiseXOR(F.col("sb")[i])
-    differ = sum((F.bit_count(other(i).bitwiseOR(other(i + n))) for i in range(n)), F.lit(0))
-    return pairs.join(_small(a), "a").join(_small(b), "b").where(differ <= most).select("a", "b")
+    return int((1 - agree) * k + sigmas * (agree * (1 - agree) * k) ** 0.5)
+
+
+def _near(left: np.ndarray, right: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (of left, of right) of the sketches that differ in at most ``most`` places."""
+    half = left.shape[1] // 2
+    apart = np.zeros((len(left), len(right)), np.int32)
+    for i in range(half):
+        x = (left[:, None, i] ^ right[None, :, i]) | (left[:, None, i + half] ^ right[None, :, i + half])
+        apart += np.bitwise_count(x.view(np.uint64)).astype(np.int32)
+    return np.nonzero(apart <= most)
+
+
+def _pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _region_pairs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of the regions (key, id, sketch) of a sorted order; rows of one key stand together, REGION at most."""
+    keys, ids, sk = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+
+    def pairs(last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal keys, ids, sk
+        # the first row of each region: where the common prefix with the row before it breaks off
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        ends = np.append(first[1:], len(keys))
+        done = len(first) if last else len(first) - 1  # the last region may go on in the next batch
+        left, right = [], []
+        for x, y in zip(first[:done].tolist(), ends[:done].tolist()):
+            if y - x > 1:
+                i, j = _near(sk[x:y], sk[x:y], most)
+                ok = ids[x + i] < ids[x + j]
+                left.append(ids[x + i[ok]])
+                right.append(ids[x + j[ok]])
+        if left:
+            yield _pairs_batch(np.concatenate(left), np.concatenate(right))
+        cut = ends[done - 1] if done > 0 else 0
+        keys, ids, sk = keys[cut:], ids[cut:], sk[cut:] if sk is not None else None
+
+    for b in batches:
+        if b.num_rows:
+            new = _sketches(b.column(2))
+            keys, ids = np.concatenate([keys, b.column(0).to_numpy()]), np.concatenate([ids, b.column(1).to_numpy()])
+            sk = new if sk is None or not len(sk) else np.concatenate([sk, new])
+            yield from pairs(False)
+    yield from pairs(True)
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Likely pairs between two blocks (ids and sketches of either) of a region of alike documents."""
+    for b in batches:
+        for i in range(b.num_rows):
+            row = b.slice(i, 1)
+            x, y = (row.column(c).flatten().to_numpy(zero_copy_only=False) for c in (0, 2))
+            sx, sy = (row.column(c).flatten().flatten().to_numpy(zero_copy_only=False).reshape(n, -1) for c, n in ((1, len(x)), (3, len(y))))
+            i_, j_ = _near(sx, sy, most)
+            ok = x[i_] != y[j_]
+            if ok.any():
+                yield _pairs_batch(x[i_[ok]], y[j_[ok]])
+
+
+def _whole_regions(rows: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """All likely pairs of regions (key, c) of alike documents: blocks of BLOCK, each against itself and those after it."""
+    part = rows.join(sizes, "key").withColumn("n_b", F.ceil(F.col("c") / BLOCK)).withColumn("b", F.pmod(F.xxhash64("id"), "n_b"))
+    blocks = part.groupBy("key", "b").agg(F.collect_list(F.struct("id", "sketch")).alias("m"), F.first("n_b").alias("n_b"))
+    blocks = blocks.select("key", "b", "n_b", F.col("m.id").alias("ids"), F.col("m.sketch").alias("sketches"))
+    left = blocks.select("key", F.col("b").alias("l"), F.explode(F.sequence(F.col("b"), F.col("n_b") - 1)).alias("b"), "ids", "sketches")
+    right = blocks.select("key", "b", F.col("ids").alias("r_ids"), F.col("sketches").alias("r_sketches"))
+    both = left.join(right, ["key", "b"]).repartition("key", "b", "l").select("ids", "sketches", "r_ids", "r_sketches")
+    return both.mapInArrow(lambda it: _block_pairs(it, most), "a long, b long")
+
+
+def forest_pairs(reps: DataFrame, similarity: float = SIMILARITY, region: int = REGION) -> DataFrame:
+    """Distinct likely pairs (a < b) of ``reps`` (id long, sig, sketch): neighbours in the sorted orders of the forest."""
+    most, k = _most_apart(similarity), TREES * DEPTH
+    label = F.xxhash64(F.col("t"), *[F.get("sig", F.col("t") * DEPTH + i) for i in range(DEPTH)])
+    rows = reps.select("id", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(label.alias("key"), "id", "sig", "sketch")
+    out = []
+    for level in range(LEVELS + 1):
+        # the sizes of the regions come first, so that no full one is ever brought together
+        sizes = written(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), f"sizes{level}")
+        small = rows.select("key", "id", "sketch").join(sizes.where(F.col("c") <= region).select("key"), "key", "left_semi")
+        out.append(small.repartition("key").sortWithinPartitions("key", "id").mapInArrow(lambda it: _region_pairs(it, most), "a long, b long"))
+        full = sizes.where(F.col("c") > region)
+        if full.isEmpty():
+            break
+        inside = written(rows.join(full, "key"), f"full{level}")
+        if level == LEVELS:
+            out.append(_whole_regions(inside.select("key", "id", "sketch"), full, most))
+            break
+        # further orders of the full regions: one more hash each, another one for every region, level and order
+        at = F.pmod(F.xxhash64("key", F.lit(level), "o"), F.lit(k)).cast("int")
+        deeper = inside.select("key", "c", "id", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("o"))
+        deeper = deeper.select(F.col("key").alias("up"), F.xxhash64("key", F.lit(level), "o", F.get("sig", at)).alias("key"), "c", "id", "sig", "sketch")
+        # the share of a region's pairs that stay together in a further order: their mean similarity
+        kept = deeper.groupBy("up", "c", "key").agg(F.count("*").alias("n")).groupBy("up").agg((F.sum(F.col("n") * F.col("n") / BRANCHES) / F.first(F.col("c") * F.col("c"))).alias("share"))
+        kept = written(kept, f"shares{level}")
+        alike = full.join(kept.where(F.col("share") >= 1 / BRANCHES).select(F.col("up").alias("key")), "key", "left_semi")
+        out.append(_whole_regions(inside.select("key", "id", "sketch"), alike, most))
+        rows = deeper.join(kept.where(F.col("share") < 1 / BRANCHES).select("up"), "up", "left_semi").select("key", "id", "sig", "sketch")
+    pairs = out[0]
+    for more in out[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
 
 
 def verified(pairs: DataFrame, ids: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
@@ -256,7 +329,7 @@ def verified(pairs: DataFrame, ids: DataFrame, parts: DataFrame, similarity: flo
         if now is not None:
             yield sets()
 
-    mine = parts.select("doc_id", "blk", "words", "cut").join(_small(asked), "doc_id").select("id", "blk", "words", "cut")
+    mine = parts.select("doc_id", "blk", "words", "cut").join(asked, "doc_id").select("id", "blk", "words", "cut")
     mine = mine.repartition("id").sortWithinPartitions("id", "blk")
     sets = written(mine.mapInArrow(run, "id long, bucket int, hs array<bigint>"), "sets")
     a, b = sets.select(F.col("id").alias("a"), "bucket", F.col("hs").alias("ha")), sets.select(F.col("id").alias("b"), "bucket", F.col("hs").alias("hb"))
@@ -278,7 +351,7 @@ def similar_documents(pages: DataFrame, similarity: float = SIMILARITY) -> tuple
     reps = sigs.groupBy("print").agg(F.min_by(F.struct("doc_id", "sig", "sketch"), "doc_id").alias("r"))
     reps = written(reps.select("r.doc_id", "r.sig", "r.sketch", "print", F.xxhash64("r.doc_id").alias("id")), "classes")
     ids = reps.select("id", "doc_id")
-    pairs = written(likely(forest_pairs(reps), reps, similarity), "candidates")
+    pairs = written(forest_pairs(reps, similarity), "candidates")
     good = verified(pairs, ids, parts, similarity)
     a, b = ids.select(F.col("id").alias("a"), F.col("doc_id").alias("x")), ids.select(F.col("id").alias("b"), F.col("doc_id").alias("y"))
     links = good.join(a, "a").join(b, "b").select(F.least("x", "y").alias("class_a"), F.greatest("x", "y").alias("class_b"), "similarity")

@@ -158,18 +158,24 @@ def test_p7_pairs_against_brute_force(spark):
     assert nd.similar_documents(df.limit(0))[0].count() == 0
 
 
-def test_p7_recall_among_many_versions(spark):
-    rng = np.random.default_rng(9)
-    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
-    texts = [np.where(rng.random(400) < 0.05, rng.integers(0, 2**63, 400, dtype=np.uint64), base) for _ in range(120)]
-    hashes = [nd.sequence_hashes(w) for w in texts]
-    sets = [set(h.tolist()) for h in hashes]
-    reps = spark.createDataFrame([(i, nd.signature(np.unique(h)).view(np.int32).tolist()) for i, h in enumerate(hashes)], "id long, sig array<int>")
-    got = {(r["a"], r["b"]) for r in nd.forest_pairs(reps).collect()}
-    near = [(a, b) for a in range(120) for b in range(a + 1, 120) if 0.55 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.65]
-    recall = sum(p in got for p in near) / len(near)
-    print(len(near), recall)
-    assert len(near) > 2000 and recall >= 0.97
+@pytest.mark.parametrize("versions,region", [(100, nd.REGION), (100, 8), (1000, nd.REGION), (1000, 40)])
+def test_p7_recall_in_large_families(spark, versions, region):
+    """Brute force over one family: no pair is lost because its regions are full."""
+    rng = np.random.default_rng(versions)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    hashes = [np.unique(nd.sequence_hashes(np.where(rng.random(300) < 0.05, rng.integers(0, 2**63, 300, dtype=np.uint64), base))) for _ in range(versions)]
+    reps = spark.createDataFrame([(i, sig.view(np.int32).tolist(), nd.sketch(sig)) for i, sig in enumerate(map(nd.signature, hashes))], "id long, sig array<int>, sketch array<bigint>")
+    got = {(r["a"], r["b"]) for r in nd.forest_pairs(reps, region=region).collect()}
+    every, of = np.unique(np.concatenate(hashes), return_inverse=True)
+    sets = np.zeros((versions, len(every)), np.float32)
+    sets[np.repeat(np.arange(versions), [len(h) for h in hashes]), of] = 1
+    both, size = sets @ sets.T, sets.sum(1)
+    j = both / (size[:, None] + size[None, :] - both)
+    for low, high in ((0.55, 0.6), (0.6, 0.65)):
+        near = list(zip(*np.nonzero(np.triu((j >= low) & (j < high), 1))))
+        recall = sum((int(a), int(b)) in got for a, b in near) / len(near)
+        print(versions, region, low, len(near), round(recall, 4))
+        assert len(near) > 500 and recall >= 0.97
 
 
 def test_p8_ids_are_exact(spark):
@@ -203,11 +209,31 @@ def test_p9_shares_and_caps(spark):
     assert mixture.mix_sources(docs.limit(0), aim).count() == 0
 
 
+GOOD = ["The witness said that the ledger was kept at the registry.", "It is recorded that nobody had told the clerk about it.", "He could not confirm what was said before the meeting."]
+
+
 def test_p10_pages(spark):
     rng = random.Random(7)
-    good = ["The witness said that the ledger was kept at the registry.", "It is recorded that nobody had told the clerk about it.", "He could not confirm what was said before the meeting."]
-    rows = [(i, " ".join(rng.choice(good) for _ in range(12)), "en", 0) for i in range(120)]
-    rows += [(900, "cheap notary, hearing video, " * 30, "en", 0), (901, "\n".join(f"* [page {i}](https://x.example/{i})" for i in range(40)), "en", 0), (902, " ".join(good * 4) + "\nHome » Login » Share »", None, 0), (903, None, "en", 0), (904, "", "en", 0)]
+    rows = [(i, " ".join(rng.choice(GOOD) for _ in range(12)), "en", 0) for i in range(120)]
+    rows += [(900, "cheap notary, hearing video, " * 30, "en", 0), (901, "\n".join(f"* [page {i}](https://x.example/{i})" for i in range(40)), "en", 0), (902, " ".join(GOOD * 4) + "\nHome » Login » Share »", None, 0), (903, None, "en", 0), (904, "", "en", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, distance int")
     assert {r["doc_id"] for r in spam.judged(df).where("is_spam").collect()} == {900, 901}
     assert spam.judged(df.limit(0)).count() == 0
+
+
+def test_p10_function_words_are_learnt_by_language(spark):
+    rows = [(i, "blik tor mes gan. " * 3 + f"word{i}", "xx") for i in range(60)] + [(i, "the cat sat. a" + str(i), "en-GB") for i in range(100, 103)]
+    lists, sizes = spam.learned_words(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert lists == {"xx": frozenset({"blik", "tor", "mes", "gan"})} and sizes == {"xx": 60, "en": 3}
+
+
+def test_p10_the_distance_changes_the_rows(spark):
+    """Forms whose lists are usual for their language are no outliers, though more than half of them is a list."""
+    rng = random.Random(11)
+    names = [f"name{i}" for i in range(400)]
+    forms = [(i, "die vorm is hier. " * 2 + "\n".join(" ".join(rng.sample(names, 3)) for _ in range(rng.randint(4, 9))), "af") for i in range(200)]
+    rows = forms + [(1000 + i, " ".join(rng.choice(GOOD) for _ in range(12)), "en") for i in range(200)]
+    rows += [(2000, "The witness said so. " + "\n".join(" ".join(rng.sample(names, 3)) for _ in range(40)), "en")]
+    got = spam.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    by_share = {r["doc_id"] for r in got if r["list_share"] > spam.SHARE}
+    assert len(by_share) > 100 and {r["doc_id"] for r in got if r["is_spam"]} == {2000}
