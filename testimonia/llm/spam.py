@@ -1,18 +1,18 @@
 """Keyword-stuffed pages, link lists and tag lists.
 
-Each document gives features of density, entropy, repetition and function words. For each language the centre and the
-scatter of the features are estimated robustly (medians first, then trimmed moments, all by SQL aggregates over all
-documents); a document is an outlier if its Mahalanobis distance is beyond a chi-square limit, and it is spam if it
-lies out in a spam-directed direction and most of its characters are in parts that are no sentences.
+The function words of each language are learnt: words that stand in a large part of its documents. Every document then
+gives features of density (links), entropy, repetition and function words, and for each language the centre and the
+scatter of the features are estimated robustly (medians first, then trimmed moments, by aggregates over all documents).
+A document whose Mahalanobis distance is beyond a chi-square limit and that lies out in a spam-directed direction is a
+candidate; an exact check follows: more than half of its characters must belong to links, lists and repeated keywords.
+
+Words are counted batch by batch in arrays: text becomes numbers once, and no step of the features runs word by word.
 """
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,150 +21,229 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
-# Common function words of English, Afrikaans and isiZulu.
-FUNCTION_WORDS = frozenset(
-    """
-    a about according after again all also although am an and any are as at be because been before being between both but by can cannot come could did do does
-    done down during each either else every few for from further had has have having he her here hers him his how i if in into is it its itself just let may me
-    might more most mr must my never no nobody nor not now of off on once one only or other our out over own quite said same say says shall she should since
-    so some somebody such than that the their them then there these they this those though through to told too under until up upon us very was we were what when
-    where whether which while who whom whose why will with without would yes yet you your
-    aan af al alle alles as asook baie bevestig by daar daardie dan dat deur die dit dus een eers ek elke en geen gee haar har het hier hierdie hoe hom hul hulle
-    iemand iets in is ja jou jy kan kon lank maar mag meer met moet my na nadat nee nie niemand niks nog nou nooit of om omdat ons onder oor op ook se sal sê sien
-    slegs so sodat sonder sou te teen terwyl tot toe tussen uit u van vir voor voordat waar was wat wees weer weet wel wie word ’n 'n
-    abanye abantu angikhumbuli bonke bona futhi emva kanti kanye kepha khona kodwa kokuba konke kubo kuthi kwakhe lapho leli lesi lezi lokho lokhu lona mayelana
-    mina nabo nakho ngaphambi ngaphandle ngase ngemva ngenxa ngesikhathi ngoba nje nokho nokuthi noma okwesibili phakathi phambi phansi thina ucele uma uphikile
-    uthe ukuthi ukuba umuntu wayekhona wena yabo yakhe yena yini yonke zidlulile zonke ezinye isayinwe usayine utholakale ikhokhwe bathole kufundwe siyabonga
-    """.split()
-)
-# Noun and locative prefixes that isiZulu writes before a hyphen.
-PREFIX = re.compile(r"\b(?:u|i|o|e|no|na|ngo|nge|ngu|se|ase|lase|base|yase|kwa|ku|angu|engu|ezingu|abangu|izingu)-(?=\w)", re.I)
 LINK = re.compile(r"<a\s[^>]*>[^<]*</a>|!?\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)[^\s<>)\]]+|(?<!\w)#\w+|[^\n»|/;,·•]{0,40}»", re.I)
-BREAK = re.compile(r"[\n\r]+|(?<=[.?!])\s+|\s[|/·•*]\s|\s*[;|·•]\s*")
-WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-FEATURES = ["link_share", "list_share", "repetition", "entropy", "function_share"]
+#: Words, ends of sentences, and signs that part the items of a list; a NUL parts documents.
+TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[\n\r\x00;|·•]|[.?!](?=\s)|(?<=\s)[/*](?=\s)")
+WORD_SQL = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
+FEATURES = ["link_share", "repetition", "entropy", "function_share"]
 #: The direction of spam in each feature.
-TOWARDS = np.array([1.0, 1.0, 1.0, -1.0, -1.0])
-LIMIT = 20.5  # the 0.999 quantile of chi-square with 5 degrees of freedom
+TOWARDS = np.array([1.0, 1.0, -1.0, -1.0])
+LIMIT = 18.47  # the 0.999 quantile of chi-square with 4 degrees of freedom
 SHARE = 0.5
-#: Languages with fewer documents are judged against all documents.
+#: A language with fewer documents teaches no function words and is judged by the centre of all documents.
 LEAST_DOCS = 50
+#: A word in this part of a language's documents is a function word; a document of d distinct words has at most d / COMMON of them on average.
+COMMON = 0.25
+#: No feature is trusted to vary less in honest texts.
+FLOOR = np.array([0.02, 0.04, 0.03, 0.04])
+#: Texts of one batch together are cut into groups of about so many characters, to bound memory.
+GROUP_CHARS = 4_000_000
 
 
-def features(text: str) -> tuple[int, float, float, float, float, float]:
-    """Characters (without white space around), and FEATURES; shares are of the characters of the document."""
-    text = text.strip()
-    n = len(text)
-    if not n:
-        return 0, 0.0, 0.0, 0.0, 1.0, 0.3
-    rest = LINK.sub("\n", text) if "/" in text or "#" in text or "»" in text or "](" in text else text
-    linked = n - len(rest)
-    # a prefix before a hyphen counts as a function word of its own
-    parts = BREAK.split(PREFIX.sub("the ", rest).lower())
-    found = [WORD.findall(p) for p in parts]
-    words = list(chain.from_iterable(found))
-    counts = Counter(words)
-    total = len(words)
-    content = {w: c for w, c in counts.items() if w not in FUNCTION_WORDS}
-    pairs = Counter(zip(words, words[1:]))
-    repeated = sum(c for p, c in pairs.items() if c > 2 and (p[0] in content or p[1] in content)) / max(1, total - 1)
-    entropy = (math.log(total) - sum(c * math.log(c) for c in counts.values() if c > 1) / total) / math.log(total) if total > 1 else 1.0
-    function = 1 - sum(content.values()) / total if total else 0.0
-    # words that stand out in this document: much more frequent than content words are in texts of its length
-    often = max(3, 0.03 * total)
-    heavy = {w for w, c in content.items() if c >= often}
-    listed = 0
-    for part, own in zip(parts, found):
-        if not own:
-            listed += len(part) if linked else 0
-            continue
-        k = len(own)
-        fw = sum(w not in content for w in own) / k
-        hv = sum(w in heavy for w in own) / k if heavy else 0.0
-        if (fw < 0.12 and not part.rstrip().endswith(":")) or hv >= 0.45 or (hv >= 0.25 and fw < 0.3):
-            listed += len(part) + 1
-    return n, min(1.0, max(0.0, linked / n)), min(1.0, (linked + listed) / n), repeated, entropy, function
-
-
-def scored(docs: DataFrame, lang: str = "lang") -> DataFrame:
-    """doc_id, lang (two letters, empty if null), n_chars and FEATURES of each document with a text that is not blank."""
+def lang_code(c):
+    """The first two letters of a language tag in lower case, empty for anything else."""
+    return F.coalesce(F.regexp_extract(F.lower(c), r"^([a-z]{2})(?:$|[-_])", 1), F.lit(""))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [features(t or "") for t in b.column(2).to_pylist()]
-            cols = list(zip(*rows)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cols[0], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[1:])], ["doc_id", "lang", "n_chars", *FEATURES])
 
-    docs = docs.select("doc_id", F.coalesce(F.lower(F.substring(lang, 1, 2)), F.lit("")).alias("lang"), "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, lang string, n_chars long, " + ", ".join(f"{f} double" for f in FEATURES)).where("n_chars > 0")
+def learned_words(docs: DataFrame, lang: str = "lang") -> tuple[dict[str, frozenset], dict[str, int]]:
+    """Function words of each language with LEAST_DOCS documents or more, and the number of documents of each language code.
 
+    A language code is two letters, so there are at most 677; the words kept of one are at most 1 / COMMON times the
+    distinct words of its average document.
+    """
+    t = docs.where("text is not null and trim(text) <> ''").select(lang_code(F.col(lang)).alias("lang"), "text")
+    words = F.array_distinct(F.concat(F.array(F.lit("")), F.expr(f"regexp_extract_all(lower(text), r\"{WORD_SQL}\", 0)")))
+    # the empty word counts the documents themselves
+    counts = written(t.select("lang", F.explode(words).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n")), "words")
+    sizes = counts.where("w = ''").select("lang", F.col("n").alias("of"))
+    n_docs = {r["lang"]: r["of"] for r in sizes.collect()}
+    common = counts.where("w <> ''").join(F.broadcast(sizes), "lang").where((F.col("of") >= LEAST_DOCS) & (F.col("n") >= F.lit(COMMON) * F.col("of")) & (F.col("lang") != ""))
+    out: dict[str, set] = {g: set() for g, n in n_docs.items() if g and n >= LEAST_DOCS}
+    for r in common.select("lang", "w").collect():
+        if not r["w"].isdigit():
+            out[r["lang"]].add(r["w"])
+    return {g: frozenset(w) for g, w in out.items()}, n_docs
+
+
+class Words:
+    """Numbers for words; 0 parts documents, 1 parts list items, 2 ends a sentence."""
+
+    def __init__(self, lists: dict[str, frozenset]) -> None:
+        self.langs = sorted(lists)
+        every = sorted(set().union(*lists.values())) if lists else []
+        self.row_of = {w: i + 1 for i, w in enumerate(every)}
+        self.is_function = np.zeros((len(every) + 1, len(self.langs)), bool)
+        for j, g in enumerate(self.langs):
+            self.is_function[[self.row_of[w] for w in lists[g]], j] = True
+        self.reset()
+
+    def reset(self) -> None:
+        words = self
+
+        class Ids(dict):
+            def __missing__(self, w: str) -> int:
+                self[w] = i = len(words.length)
+                words.length.append(len(w) + 1)
+                words.row.append(words.row_of.get(w, 0))
+                return i
+
+        self.length, self.row = [0, 1, 1], [0, 0, 0]
+        self.ids = Ids({"\x00": 0, **{s: 1 for s in "\n\r;|·•/*"}, **{s: 2 for s in ".?!"}})
+
+
+def _sums(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(at, values, n)
+
+
+def group_features(texts: list[str], codes: list[str], words: Words, listed_langs: frozenset) -> tuple:
+    """Arrays of the texts: n_chars, code of the language that fits best, FEATURES, list_share.
+
+    The language is the one whose function words make up most of the text, its own code being taken on a tie; a text of a
+    language that taught no words is judged by its links and repetitions alone.
+    """
+    stripped = [t.strip() for t in texts]
+    n_chars = np.array([len(t) for t in stripped], np.int64)
+    rest = [LINK.sub("\n", t) if "/" in t or "#" in t or "»" in t or "](" in t else t for t in (x.replace("\x00", " ") for x in stripped)]
+    linked = n_chars - np.array([len(t) for t in rest], np.int64)
+    n = len(texts)
+    if len(words.length) > 400_000:
+        words.reset()
+    tokens = TOKEN.findall("\x00".join(rest).lower() + "\x00")
+    ids = np.fromiter(map(words.ids.__getitem__, tokens), np.int64, len(tokens))
+    length, row = np.array(words.length, np.int64), np.array(words.row, np.int64)
+    doc = np.cumsum(ids == 0) - (ids == 0)
+    is_word = ids > 2
+    # a segment ends after a sign; sentences and list items are segments
+    seg = (np.cumsum(~is_word) - ~is_word)[is_word]
+    ended = (ids == 2)[~is_word]
+    w, d = ids[is_word], doc[is_word]
+    total = _sums(np.ones(len(w)), d, n)
+    big = len(length)
+    pair, inverse, count = np.unique(d * big + w, return_inverse=True, return_counts=True)
+    pd_, pw = pair // big, pair % big
+    # the language by its function words
+    best, best_hits = np.full(n, -1), np.zeros(n)
+    rows = row[pw]
+    hit = rows > 0
+    own = np.array([words.langs.index(c) if c in listed_langs else -1 for c in codes])
+    for j in range(len(words.langs)):
+        hits = _sums(count[hit] * words.is_function[rows[hit], j], pd_[hit], n) + 0.5 * (own == j)
+        best = np.where(hits > best_hits, j, best)
+        best_hits = np.maximum(hits, best_hits)
+    unlisted = np.array([bool(c) and c not in listed_langs for c in codes]) & (best_hits < 0.3 * total)
+    best = np.where(unlisted, -1, best)
+    f_pair = words.is_function[rows, best[pd_]] if words.langs else np.zeros(len(pair), bool)
+    f_pair &= best[pd_] >= 0
+    blind = best < 0  # no function words are known for it
+    function = np.divide(_sums(count * f_pair, pd_, n), total, out=np.zeros(n), where=total > 0)
+    log_total = np.log(np.maximum(total, 2))
+    entropy = np.where(total > 1, (np.log(np.maximum(total, 1)) - _sums(count * np.log(count), pd_, n) / np.maximum(total, 1)) / log_total, 1.0)
+    # words that stand out: content words much more frequent than they are in texts of its length
+    heavy_pair = ~f_pair & (count >= np.maximum(3, 0.03 * total)[pd_])
+    f_tok, h_tok = f_pair[inverse], heavy_pair[inverse]
+    # words of neighbours that stand together again and again
+    next_to = np.flatnonzero(d[1:] == d[:-1]) if len(w) > 1 else np.zeros(0, np.int64)
+    kinds = np.unique(w[next_to] * big + w[next_to + 1], return_inverse=True)[1] if len(next_to) else np.zeros(0, np.int64)
+    dd, span = d[next_to], kinds.max(initial=0) + 1
+    key, back, times = np.unique(dd * span + kinds, return_inverse=True, return_counts=True)
+    again = (times >= np.maximum(4, 0.04 * total)[key // span])[back] if len(key) else np.zeros(0, bool)
+    r_tok = np.zeros(len(w), bool)
+    r_tok[next_to[again]] = True
+    r_tok[next_to[again] + 1] = True
+    repeated = _sums(r_tok, d, n) / np.maximum(1, total)
+    # segments that are no sentences
+    seg_ids, at, k = np.unique(seg, return_inverse=True, return_counts=True)
+    fw, hv, rp = (_sums(x, at, len(seg_ids)) / np.maximum(k, 1) for x in (f_tok, h_tok, r_tok))
+    chars = _sums(length[w], at, len(seg_ids))
+    seg_doc = np.zeros(len(seg_ids), np.int64)
+    seg_doc[at] = d
+    ended, seen = ended[seg_ids], ~blind[seg_doc]
+    is_list = ((fw < np.where(k >= 8, 0.25, 0.12)) & ~ended & seen) | (hv >= 0.45) | ((hv >= 0.25) & (fw < 0.3) & seen) | ((rp >= 0.45) & ~ended)
+    in_words = _sums(chars, seg_doc, n)
+    in_lists = _sums(np.where(is_list, chars, 0), seg_doc, n)
+    share = np.minimum(1.0, (linked + in_lists) / np.maximum(1, linked + in_words))
+    lang = np.array([words.langs[b] if b >= 0 else "" for b in best], object)
+    function = np.where(blind, 0.3, function)
+    return n_chars, lang, np.clip(linked / np.maximum(1, n_chars), 0, 1), repeated, entropy, function, share
+
+
+def scored(docs: DataFrame, lists: dict[str, frozenset], lang: str = "lang") -> DataFrame:
+    """doc_id, lang (the one that fits), n_chars, FEATURES and list_share of each document with a text that is not blank."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(lists)  # bounded, see learned_words
 
-def _moments(rows: DataFrame, by: list[str]) -> dict:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, listed = Words(sent.value), frozenset(sent.value)
+        for b in batches:
+            texts, codes = b.column(2).to_pylist(), b.column(1).to_pylist()
+            at = 0
+            while at < len(texts):
+                end, chars = at, 0
+                while end < len(texts) and (end == at or chars + len(texts[end]) <= GROUP_CHARS):
+                    chars += len(texts[end])
+                    end += 1
+                n, g, *f = group_features(texts[at:end], codes[at:end], words, listed)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), pa.array(g, pa.string()), pa.array(n, pa.int64()), *(pa.array(x, pa.float64()) for x in f)], ["doc_id", "lang", "n_chars", *FEATURES, "list_share"])
+                at = end
+
+    docs = docs.where("text is not null").select("doc_id", lang_code(F.col(lang)).alias("lang"), "text")
+    return docs.mapInArrow(run, f"doc_id {kind}, lang string, n_chars long, " + ", ".join(f"{f} double" for f in [*FEATURES, "list_share"])).where("n_chars > 0")
+
+
+def _moments(rows: DataFrame) -> dict:
     k = len(FEATURES)
     aggs = [F.count("*").alias("n"), *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)]]
     aggs += [F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
     out = {}
-    for r in rows.groupBy(*by).agg(*aggs).collect():  # one row per language
+    for r in rows.groupBy("lang").agg(*aggs).collect():  # one row per language, 677 at most
         m = np.array([r[f"m{i}"] for i in range(k)])
         c = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) - np.outer(m, m)
-        out[r[by[0]]] = (r["n"], m, c)
+        out[r["lang"]] = (r["n"], m, c)
     return out
 
 
-def _distance(models: dict, of: str = "_group"):
-    """Squared distance from the model of the row's group, as an expression."""
-    out = F.lit(None).cast("double")
-    for g, (m, inv) in models.items():
-        z = [F.col(f) - F.lit(float(m[i])) for i, f in enumerate(FEATURES)]
-        d = sum((z[i] * F.lit(float(v)) * z[j] for i, row in enumerate(inv) for j, v in enumerate(row) if v), F.lit(0.0))
-        out = F.when(F.col(of) == g, d).otherwise(out)
-    return out
+def _with_distance(rows: DataFrame, models: dict) -> DataFrame:
+    """Adds distance (squared, from the centre of the row's language) and towards_spam; one small table row per language."""
+    k = len(FEATURES)
+    flat = [(g, *m.tolist(), *np.asarray(inv).ravel().tolist()) for g, (m, inv) in models.items()]
+    names = ["lang", *(f"_m{i}" for i in range(k)), *(f"_v{i}_{j}" for i in range(k) for j in range(k))]
+    t = rows.sparkSession.createDataFrame(flat, ", ".join(f"{c} {'string' if c == 'lang' else 'double'}" for c in names))
+    rows = rows.join(F.broadcast(t), "lang")
+    z = [F.col(f) - F.col(f"_m{i}") for i, f in enumerate(FEATURES)]
+    d = sum((z[i] * F.col(f"_v{i}_{j}") * z[j] for i in range(k) for j in range(k)), F.lit(0.0))
+    side = sum((z[i] * F.sqrt(F.col(f"_v{i}_{i}")) * F.lit(float(TOWARDS[i])) for i in range(k)), F.lit(0.0))
+    return rows.withColumn("distance", d).withColumn("towards_spam", side).drop(*names[1:])
 
 
 def judged(docs: DataFrame, lang: str = "lang", steps: int = 2) -> DataFrame:
-    """doc_id, n_chars, FEATURES, distance, towards_spam and is_spam.
+    """doc_id, lang (the one that fits), n_chars, FEATURES, list_share, distance, towards_spam, is_outlier and is_spam.
 
-    Null, empty and blank texts get no row. Other columns than doc_id, text and ``lang`` are not read. Languages with
-    fewer than LEAST_DOCS documents, and a null one, are judged against all documents. An empty table gives no rows.
+    Null, empty and blank texts get no row. Other columns than doc_id, text and ``lang`` are not read. A document is
+    judged by the language whose function words it holds, whatever its label; where none fits, and in languages of fewer
+    than LEAST_DOCS documents, by the centre of all documents. An empty table gives no rows.
     """
-    rows = written(scored(docs, lang), "features")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
-    own = sorted(g for g, n in sizes.items() if g and n >= LEAST_DOCS)
-    group = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(F.lit("*")) if own else F.lit("*")
-    rows = rows.withColumn("_group", group)
+    lists, _ = learned_words(docs, lang)
+    rows = written(scored(docs, lists, lang), "features")
+    k = len(FEATURES)
     middle = [F.percentile_approx(f, 0.5, 2000).alias(f"a{i}") for i, f in enumerate(FEATURES)]
     quart = [F.percentile_approx(f, F.array(F.lit(0.25), F.lit(0.75)), 2000).alias(f"q{i}") for i, f in enumerate(FEATURES)]
-    k = len(FEATURES)
-    models = {}
-    floor = np.array([0.02, 0.04, 0.04, 0.03, 0.04])  # no feature is trusted to vary less in honest texts
 
     def start(r) -> tuple[np.ndarray, np.ndarray]:
         m = np.array([r[f"a{i}"] for i in range(k)], float)
-        s = np.maximum(floor, np.array([(r[f"q{i}"][1] - r[f"q{i}"][0]) / 1.349 for i in range(k)]))
+        s = np.maximum(FLOOR, np.array([(r[f"q{i}"][1] - r[f"q{i}"][0]) / 1.349 for i in range(k)]))
         return m, np.diag(1 / s**2)
 
-    for r in rows.where("_group <> '*'").groupBy("_group").agg(*middle, *quart).collect():
-        models[r["_group"]] = start(r)
-    whole = rows.agg(*middle, *quart).collect()[0]
-    if whole["a0"] is None:
-        models["*"] = (np.zeros(k), np.eye(k))
-    else:
-        models["*"] = start(whole)
+    # the grouping sets give each language and, under null, all documents
+    found = rows.rollup("lang").agg(F.count("*").alias("n"), *middle, *quart).collect()
+    whole = next((start(r) for r in found if r["lang"] is None and r["n"]), (np.zeros(k), np.eye(k)))
+    models = {r["lang"]: start(r) if r["n"] >= LEAST_DOCS and r["lang"] else whole for r in found if r["lang"] is not None}
     for _ in range(steps):
-        near = rows.withColumn("_d", _distance(models)).where(F.col("_d") <= LIMIT)
-        for g, (n, m, c) in _moments(near, ["_group"]).items():
-            if n >= 10 * k:
-                models[g] = (m, np.linalg.inv(c + np.diag(floor**2)))
-    rows = rows.withColumn("distance", _distance(models))
-    side = F.lit(0.0)
-    for g, (m, inv) in models.items():
-        w = np.sqrt(np.diag(inv)) * TOWARDS
-        side = F.when(F.col("_group") == g, sum(((F.col(f) - F.lit(float(m[i]))) * F.lit(float(w[i])) for i, f in enumerate(FEATURES)), F.lit(0.0))).otherwise(side)
-    rows = rows.withColumn("towards_spam", side)
-    # an outlier in the direction of spam; what it takes to be one of these pages is then checked on its characters
-    spam = (F.col("distance") > LIMIT) & (F.col("towards_spam") > 0) & (F.col("list_share") > SHARE)
-    return rows.withColumn("is_spam", spam).drop("_group", "lang")
+        for g, (n, m, c) in _moments(_with_distance(rows, models).where(F.col("distance") <= LIMIT)).items():
+            if n >= LEAST_DOCS and g:
+                models[g] = (m, np.linalg.inv(c + np.diag(FLOOR**2)))
+    rows = _with_distance(rows, models)
+    out = (F.col("distance") > LIMIT) & (F.col("towards_spam") > 0)
+    return rows.withColumn("is_outlier", out).withColumn("is_spam", out & (F.col("list_share") > SHARE))
 
 
 def p10_found(spark: SparkSession, directory: str) -> DataFrame:
