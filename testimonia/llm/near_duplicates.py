@@ -255,9 +255,9 @@ def _block_pairs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Re
                 yield _pairs_batch(x[i_[ok]], y[j_[ok]])
 
 
-def _whole_regions(rows: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
-    """All likely pairs of regions (key, c) of alike documents: blocks of BLOCK, each against itself and those after it."""
-    part = rows.join(sizes, "key").withColumn("n_b", F.ceil(F.col("c") / BLOCK)).withColumn("b", F.pmod(F.xxhash64("id"), "n_b"))
+def _whole_regions(rows: DataFrame, most: int) -> DataFrame:
+    """All likely pairs of regions (key, c, id, sketch) of alike documents: blocks of BLOCK, each against itself and those after it."""
+    part = rows.withColumn("n_b", F.ceil(F.col("c") / BLOCK)).withColumn("b", F.pmod(F.xxhash64("id"), "n_b"))
     blocks = part.groupBy("key", "b").agg(F.collect_list(F.struct("id", "sketch")).alias("m"), F.first("n_b").alias("n_b"))
     blocks = blocks.select("key", "b", "n_b", F.col("m.id").alias("ids"), F.col("m.sketch").alias("sketches"))
     left = blocks.select("key", F.col("b").alias("l"), F.explode(F.sequence(F.col("b"), F.col("n_b") - 1)).alias("b"), "ids", "sketches")
@@ -270,30 +270,30 @@ def forest_pairs(reps: DataFrame, similarity: float = SIMILARITY, region: int =
     """Distinct likely pairs (a < b) of ``reps`` (id long, sig, sketch): neighbours in the sorted orders of the forest."""
     most, k = _most_apart(similarity), TREES * DEPTH
     label = F.xxhash64(F.col("t"), *[F.get("sig", F.col("t") * DEPTH + i) for i in range(DEPTH)])
-    rows = reps.select("id", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(label.alias("key"), "id", "sig", "sketch")
-    out = []
+    rows = reps.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(label.alias("key"), "id")
+    sketches, out = reps.select("id", "sketch"), []
     for level in range(LEVELS + 1):
-        # the sizes of the regions come first, so that no full one is ever brought together
-        sizes = written(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), f"sizes{level}")
-        small = rows.select("key", "id", "sketch").join(sizes.where(F.col("c") <= region).select("key"), "key", "left_semi")
+        # the sizes of the regions come first, so that no full one is ever brought together; labels and ids alone are exchanged
+        sizes = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+        inside = written(rows.join(written(sizes, f"sizes{level}"), "key"), f"regions{level}")
+        small = inside.where(F.col("c") <= region).select("key", "id").join(sketches, "id").select("key", "id", "sketch")
         out.append(small.repartition("key").sortWithinPartitions("key", "id").mapInArrow(lambda it: _region_pairs(it, most), "a long, b long"))
-        full = sizes.where(F.col("c") > region)
+        full = inside.where(F.col("c") > region)
         if full.isEmpty():
             break
-        inside = written(rows.join(full, "key"), f"full{level}")
         if level == LEVELS:
-            out.append(_whole_regions(inside.select("key", "id", "sketch"), full, most))
+            out.append(_whole_regions(full.join(sketches, "id"), most))
             break
         # further orders of the full regions: one more hash each, another one for every region, level and order
         at = F.pmod(F.xxhash64("key", F.lit(level), "o"), F.lit(k)).cast("int")
-        deeper = inside.select("key", "c", "id", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("o"))
-        deeper = deeper.select(F.col("key").alias("up"), F.xxhash64("key", F.lit(level), "o", F.get("sig", at)).alias("key"), "c", "id", "sig", "sketch")
+        deeper = full.join(reps.select("id", "sig"), "id").select("key", "c", "id", "sig", F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("o"))
+        deeper = written(deeper.select(F.col("key").alias("up"), F.xxhash64("key", F.lit(level), "o", F.get("sig", at)).alias("key"), "c", "id"), f"deeper{level}")
         # the share of a region's pairs that stay together in a further order: their mean similarity
         kept = deeper.groupBy("up", "c", "key").agg(F.count("*").alias("n")).groupBy("up").agg((F.sum(F.col("n") * F.col("n") / BRANCHES) / F.first(F.col("c") * F.col("c"))).alias("share"))
         kept = written(kept, f"shares{level}")
-        alike = full.join(kept.where(F.col("share") >= 1 / BRANCHES).select(F.col("up").alias("key")), "key", "left_semi")
-        out.append(_whole_regions(inside.select("key", "id", "sketch"), alike, most))
-        rows = deeper.join(kept.where(F.col("share") < 1 / BRANCHES).select("up"), "up", "left_semi").select("key", "id", "sig", "sketch")
+        alike = kept.where(F.col("share") >= 1 / BRANCHES).select(F.col("up").alias("key"))
+        out.append(_whole_regions(full.join(alike, "key", "left_semi").join(sketches, "id"), most))
+        rows = deeper.join(kept.where(F.col("share") < 1 / BRANCHES).select("up"), "up", "left_semi").select("key", "id")
     pairs = out[0]
     for more in out[1:]:
         pairs = pairs.unionByName(more)
