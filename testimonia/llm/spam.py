@@ -22,9 +22,8 @@ from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
 LINK = re.compile(r"<a\s[^>]*>[^<]*</a>|!?\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)[^\s<>)\]]+|(?<!\w)#\w+|[^\n»|/;,·•]{0,40}»", re.I)
-#: Words, ends of sentences, and signs that part the items of a list; a NUL parts documents.
-TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[\n\r\x00;|·•]|[.?!](?=\s)|(?<=\s)[/*](?=\s)")
-WORD_SQL = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
+# Signs outside ASCII that part list items, and that stand for a blank or for nothing.
+LISTING, BLANK, NOTHING = "·•»", "\u00a0\u2013\u2014\u2026\u201c\u201d\u201e\u00ab", "\u2018\u2019\u00ad\u200b\ufeff"
 FEATURES = ["link_share", "repetition", "entropy", "function_share"]
 #: The direction of spam in each feature.
 TOWARDS = np.array([1.0, 1.0, -1.0, -1.0])
@@ -45,50 +44,131 @@ def lang_code(c):
     return F.coalesce(F.regexp_extract(F.lower(c), r"^([a-z]{2})(?:$|[-_])", 1), F.lit(""))
 
 
-def learned_words(docs: DataFrame, lang: str = "lang") -> tuple[dict[str, frozenset], dict[str, int]]:
-    """Function words of each language with LEAST_DOCS documents or more, and the number of documents of each language code.
+_TABLE = bytearray(range(256))
+for _c in range(128):
+    if not chr(_c).isalnum():
+        _TABLE[_c] = 32
+for _c in b"\n\r;|":
+    _TABLE[_c] = 1
+_TABLE[0], _TABLE[2] = 0, 2
+_TABLE = bytes(_TABLE)
+
 
-    A language code is two letters, so there are at most 677; the words kept of one are at most 1 / COMMON times the
-    distinct words of its average document.
+def tokens_of(texts: list[str]) -> list[bytes]:
+    """Words in lower case, 0x01 where list items are parted, 0x02 where a sentence ends, and 0x00 after each text.
+
+    Whole-buffer replacements and one table do the work; signs outside ASCII other than the fixed ones count as letters.
     """
-    t = docs.where("text is not null and trim(text) <> ''").select(lang_code(F.col(lang)).alias("lang"), "text")
-    words = F.array_distinct(F.concat(F.array(F.lit("")), F.expr(f"regexp_extract_all(lower(text), r\"{WORD_SQL}\", 0)")))
-    # the empty word counts the documents themselves
-    counts = written(t.select("lang", F.explode(words).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n")), "words")
-    sizes = counts.where("w = ''").select("lang", F.col("n").alias("of"))
-    n_docs = {r["lang"]: r["of"] for r in sizes.collect()}
-    common = counts.where("w <> ''").join(F.broadcast(sizes), "lang").where((F.col("of") >= LEAST_DOCS) & (F.col("n") >= F.lit(COMMON) * F.col("of")) & (F.col("lang") != ""))
-    out: dict[str, set] = {g: set() for g, n in n_docs.items() if g and n >= LEAST_DOCS}
-    for r in common.select("lang", "w").collect():
-        if not r["w"].isdigit():
-            out[r["lang"]].add(r["w"])
-    return {g: frozenset(w) for g, w in out.items()}, n_docs
+    s = ("\x00".join(texts) + "\x00").lower()
+    if not s.isascii():
+        for signs, to in ((LISTING, ";"), (BLANK, " "), (NOTHING, "")):
+            for c in signs:
+                s = s.replace(c, to)
+    raw = s.encode("utf-8", "replace").replace(b" / ", b" ; ").replace(b" * ", b" ; ")
+    for mark in b".?!":
+        for after in b" \n\r\x00":
+            raw = raw.replace(bytes((mark, after)), bytes((32, 2, after)))
+    raw = raw.translate(_TABLE, b"'")
+    return raw.replace(b"\x00", b" \x00 ").replace(b"\x01", b" \x01 ").replace(b"\x02", b" \x02 ").split()
+
+
+def own_signs(text: str) -> str:
+    """The text without the three signs that :func:`tokens_of` puts in."""
+    return text.replace("\x00", " ").replace("\x01", " ").replace("\x02", " ")
 
 
 class Words:
     """Numbers for words; 0 parts documents, 1 parts list items, 2 ends a sentence."""
 
-    def __init__(self, lists: dict[str, frozenset]) -> None:
-        self.langs = sorted(lists)
+    def __init__(self, lists: dict[str, frozenset], most: int = 400_000) -> None:
+        self.langs, self.most = sorted(lists), most
         every = sorted(set().union(*lists.values())) if lists else []
-        self.row_of = {w: i + 1 for i, w in enumerate(every)}
+        self.row_of = {w.encode(): i + 1 for i, w in enumerate(every)}
         self.is_function = np.zeros((len(every) + 1, len(self.langs)), bool)
         for j, g in enumerate(self.langs):
-            self.is_function[[self.row_of[w] for w in lists[g]], j] = True
+            self.is_function[[self.row_of[w.encode()] for w in lists[g]], j] = True
         self.reset()
 
     def reset(self) -> None:
         words = self
 
         class Ids(dict):
-            def __missing__(self, w: str) -> int:
+            def __missing__(self, w: bytes) -> int:
                 self[w] = i = len(words.length)
-                words.length.append(len(w) + 1)
+                words.length.append(len(w.decode("utf-8", "replace")) + 1)
                 words.row.append(words.row_of.get(w, 0))
+                words.word.append(w)
                 return i
 
-        self.length, self.row = [0, 1, 1], [0, 0, 0]
-        self.ids = Ids({"\x00": 0, **{s: 1 for s in "\n\r;|·•/*"}, **{s: 2 for s in ".?!"}})
+        self.length, self.row, self.word = [0, 1, 1], [0, 0, 0], [b"", b"", b""]
+        self.ids = Ids({b"\x00": 0, b"\x01": 1, b"\x02": 2})
+
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number, text) of each token of the texts."""
+        if len(self.length) > self.most:
+            self.reset()
+        tokens = tokens_of(texts)
+        ids = np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))
+        return ids, np.cumsum(ids == 0) - (ids == 0)
+
+
+def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most GROUP_CHARS characters together; a longer text is a range of its own."""
+    at = 0
+    while at < len(texts):
+        end, chars = at, 0
+        while end < len(texts) and (end == at or chars + len(texts[end]) <= GROUP_CHARS):
+            chars += len(texts[end])
+            end += 1
+        yield at, end
+        at = end
+
+
+def learned_words(docs: DataFrame, lang: str = "lang") -> tuple[dict[str, frozenset], dict[str, int]]:
+    """Function words of each language with LEAST_DOCS documents or more, and the number of documents of each language code.
+
+    All documents count. A language code is two letters, so there are at most 677; the words kept of one are at most
+    1 / COMMON times the distinct words of its average document.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words({})
+        counts: dict[str, np.ndarray] = {}
+
+        def partial() -> Iterator[pa.RecordBatch]:
+            for g, c in counts.items():
+                at = np.flatnonzero(c)
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(at)), pa.array([words.word[i].decode("utf-8", "replace") for i in at.tolist()]), pa.array(c[at], pa.int64())], ["lang", "w", "n"])
+            counts.clear()
+
+        for b in batches:
+            texts, codes = [own_signs(t) for t in b.column(1).to_pylist()], np.array(b.column(0).to_pylist(), object)
+            for x, y in _groups(texts):
+                if len(words.length) > words.most or sum(map(len, counts.values())) > 20_000_000:
+                    yield from partial()
+                ids, doc = words.numbers(texts[x:y])
+                big = len(words.length)
+                # number 0 stands once in each text and counts the texts
+                pair = np.unique(doc * big + np.where(ids > 2, ids, 0))
+                of, word = pair // big, pair % big
+                for g in set(codes[x:y]):
+                    c = np.bincount(word[(codes[x:y] == g)[of]], minlength=big)
+                    old = counts.get(g)
+                    if old is not None:
+                        c[: len(old)] += old
+                    counts[g] = c
+        yield from partial()
+
+    t = docs.where("text is not null and trim(text) <> ''").select(lang_code(F.col(lang)).alias("lang"), "text")
+    partial = t.mapInArrow(run, "lang string, w string, n long")
+    counts = written(partial.groupBy("lang", "w").agg(F.sum("n").alias("n")), "words")
+    sizes = counts.where("w = ''").select("lang", F.col("n").alias("of"))
+    n_docs = {r["lang"]: r["of"] for r in sizes.collect()}
+    common = counts.where("w <> '' and lang <> '' and w rlike '[^0-9]'").join(F.broadcast(sizes), "lang").where((F.col("of") >= LEAST_DOCS) & (F.col("n") >= F.lit(COMMON) * F.col("of")))
+    out: dict[str, set] = {g: set() for g, n in n_docs.items() if g and n >= LEAST_DOCS}
+    for r in common.select("lang", "w").collect():
+        out[r["lang"]].add(r["w"])
+    return {g: frozenset(w) for g, w in out.items()}, n_docs
 
 
 def _sums(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -103,15 +183,11 @@ def group_features(texts: list[str], codes: list[str], words: Words, listed_lang
     """
     stripped = [t.strip() for t in texts]
     n_chars = np.array([len(t) for t in stripped], np.int64)
-    rest = [LINK.sub("\n", t) if "/" in t or "#" in t or "»" in t or "](" in t else t for t in (x.replace("\x00", " ") for x in stripped)]
+    rest = [LINK.sub("\n", t) if "/" in t or "#" in t or "»" in t or "](" in t else t for t in map(own_signs, stripped)]
     linked = n_chars - np.array([len(t) for t in rest], np.int64)
     n = len(texts)
-    if len(words.length) > 400_000:
-        words.reset()
-    tokens = TOKEN.findall("\x00".join(rest).lower() + "\x00")
-    ids = np.fromiter(map(words.ids.__getitem__, tokens), np.int64, len(tokens))
+    ids, doc = words.numbers(rest)
     length, row = np.array(words.length, np.int64), np.array(words.row, np.int64)
-    doc = np.cumsum(ids == 0) - (ids == 0)
     is_word = ids > 2
     # a segment ends after a sign; sentences and list items are segments
     seg = (np.cumsum(~is_word) - ~is_word)[is_word]
@@ -176,15 +252,9 @@ def scored(docs: DataFrame, lists: dict[str, frozenset], lang: str = "lang") ->
         words, listed = Words(sent.value), frozenset(sent.value)
         for b in batches:
             texts, codes = b.column(2).to_pylist(), b.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= GROUP_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                n, g, *f = group_features(texts[at:end], codes[at:end], words, listed)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), pa.array(g, pa.string()), pa.array(n, pa.int64()), *(pa.array(x, pa.float64()) for x in f)], ["doc_id", "lang", "n_chars", *FEATURES, "list_share"])
-                at = end
+            for x, y in _groups(texts):
+                n, g, *f = group_features(texts[x:y], codes[x:y], words, listed)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), pa.array(g, pa.string()), pa.array(n, pa.int64()), *(pa.array(c, pa.float64()) for c in f)], ["doc_id", "lang", "n_chars", *FEATURES, "list_share"])
 
     docs = docs.where("text is not null").select("doc_id", lang_code(F.col(lang)).alias("lang"), "text")
     return docs.mapInArrow(run, f"doc_id {kind}, lang string, n_chars long, " + ", ".join(f"{f} double" for f in [*FEATURES, "list_share"])).where("n_chars > 0")
