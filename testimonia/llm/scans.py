@@ -5,6 +5,9 @@ one class) stands near the edge on most pages of the documents that have it. Wor
 A rare word and the frequent word that it was before the scanner confused some letters differ by one of a few fixed
 anagram-hash differences, so an equality join of hashes finds the pairs and an exact replacement test confirms them.
 A line-end hyphen is a cut if the joined word is written elsewhere at least as often as the hyphened one.
+
+The same evidence repairs the text: furniture goes, cut words are joined, misread words get the most frequent right form,
+and lines become paragraphs that go on across pages, each with the offsets at which its pages begin.
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from testimonia.llm.ordered import following
+from testimonia.llm.ordered import following, with_block
 from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
@@ -161,9 +164,10 @@ def _known_of(row_known, forms):
 BODY = "doc_id string, page_no long, furniture array<int>, nos array<int>, lines string, cuts array<struct<no:int,head:string,tail:string>>, first string"
 
 
-def running_pages(pages: DataFrame) -> DataFrame:
+def running_pages(pages: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Per page: furniture (line numbers); nos and lines, the running lines (one string, split at line
-    feeds), in lower case and without words cut by their start or end; cuts, the cut words (tail null where the page ends); first, the first running word."""
+    feeds), in lower case and without words cut by their start or end; cuts, the cut words (tail null where the page ends);
+    first, the first running word; with ``keep_raw`` also raw, the running lines as they are."""
     pages, sent = with_known_edges(distinct_pages(pages), pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,12 +193,12 @@ def running_pages(pages: DataFrame) -> DataFrame:
                     nos.append(no)
                     lines.append(now)
                 first = _TAIL.match(body[0][1].lower()) if body else None
-                out.append((d, p, gone, nos, "\n".join(lines), cuts, first[1] if first else None))
+                out.append((d, p, gone, nos, "\n".join(lines), cuts, first[1] if first else None, *(["\n".join(x for _, x in body)] if keep_raw else [])))
             if out:
-                types = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.list_(pa.struct([("no", pa.int32()), ("head", pa.string()), ("tail", pa.string())])), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "page_no", "furniture", "nos", "lines", "cuts", "first"])
+                types = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.list_(pa.struct([("no", pa.int32()), ("head", pa.string()), ("tail", pa.string())])), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "page_no", "furniture", "nos", "lines", "cuts", "first", *(["raw"] if keep_raw else [])])
 
-    return pages.select("doc_id", "page_no", "text", "known").mapInArrow(run, BODY)
+    return pages.select("doc_id", "page_no", "text", "known").mapInArrow(run, BODY + (", raw string" if keep_raw else ""))
 
 
 def word_counts(body: DataFrame) -> DataFrame:
@@ -250,6 +254,18 @@ def broken_words(cuts: DataFrame, words: DataFrame) -> DataFrame:
     return c.where("n1 >= coalesce(n2, 0)").drop("n1", "n2", "hyphened")
 
 
+def misread_places(body: DataFrame, words: DataFrame, bad: DataFrame) -> DataFrame:
+    """doc_id, page_no, line_no, w, right: every place of a misread word."""
+    lines = body.select("doc_id", "page_no", F.explode(F.arrays_zip("nos", F.split("lines", "\n", -1).alias("lines"))).alias("l"))
+    tokens = lines.select("doc_id", "page_no", F.col("l.nos").alias("line_no"), F.explode(F.regexp_extract_all(F.col("l.lines"), F.lit(WORD), F.lit(0))).alias("w"))
+    if bad.count() <= BROADCAST_FORMS:
+        hits = tokens.join(F.broadcast(bad), "w")
+    else:
+        known = words.join(bad, "w", "left_anti").orderBy(F.desc("n"), "w").limit(KNOWN_WORDS).select("w")
+        hits = tokens.join(F.broadcast(known), "w", "left_anti").join(bad, "w")  # bounded by KNOWN_WORDS
+    return hits
+
+
 def faults(pages: DataFrame) -> DataFrame:
     """(doc_id, page_no, line_no, fault, word, right) of all pages, one row a line; fault is furniture, broken_word or misread.
 
@@ -265,18 +281,112 @@ def faults(pages: DataFrame) -> DataFrame:
     by_page = body.where("size(furniture) > 0").groupBy("doc_id", "page_no").agg(F.array_distinct(F.flatten(F.collect_list("furniture"))).alias("furniture"))
     furniture = by_page.select("doc_id", "page_no", F.explode("furniture").alias("line_no"), F.lit("furniture").alias("fault"), none.alias("word"), none.alias("right"))
     broken = broken_words(cut_words(body), words).select("doc_id", "page_no", F.col("no").alias("line_no"), F.lit(2).alias("rank"), F.lit("broken_word").alias("fault"), "word", none.alias("right"))
-    lines = body.select("doc_id", "page_no", F.explode(F.arrays_zip("nos", F.split("lines", "\n", -1).alias("lines"))).alias("l"))
-    tokens = lines.select("doc_id", "page_no", F.col("l.nos").alias("line_no"), F.explode(F.regexp_extract_all(F.col("l.lines"), F.lit(WORD), F.lit(0))).alias("w"))
-    if bad.count() <= BROADCAST_FORMS:
-        hits = tokens.join(F.broadcast(bad), "w")
-    else:
-        known = words.join(bad, "w", "left_anti").orderBy(F.desc("n"), "w").limit(KNOWN_WORDS).select("w")
-        hits = tokens.join(F.broadcast(known), "w", "left_anti").join(bad, "w")  # bounded by KNOWN_WORDS
+    hits = misread_places(body, words, bad)
     misread = hits.select("doc_id", "page_no", "line_no", F.lit(3).alias("rank"), F.lit("misread").alias("fault"), F.col("w").alias("word"), "right")
     best = F.min(F.struct("rank", "fault", "word", "right"))
     running = broken.unionByName(misread).groupBy("doc_id", "page_no", "line_no").agg(best.alias("b")).select("doc_id", "page_no", "line_no", "b.fault", "b.word", "b.right")
     return furniture.unionByName(running).withColumn("line_no", F.col("line_no").cast("long"))
 
 
+#: A line shorter than this part of its page's longest that ends a sentence ends a paragraph.
+SHORT = 0.75
+# The label with which a speaker's words begin.
+SPEAKER = re.compile(r"\s*[A-Z][A-Z .,'’()-]{1,60}:\s")
+_FRAGMENTS = "doc_id string, page_no long, text_hash long, starts boolean, closes boolean, inside int, fragments array<struct<n:int,text:string,open:boolean>>"
+
+
+def _corrected(line: str, fixes: list[tuple[str, str]]) -> str:
+    for w, right in fixes:
+        def put(m: re.Match, right: str = right) -> str:
+            return right.upper() if m[0].isupper() and len(m[0]) > 1 else right[:1].upper() + right[1:] if m[0][:1].isupper() else right
+
+        line = re.sub(rf"(?<![^\W_])(?<![@|!]){re.escape(w)}(?![^\W_])(?![@|!])", put, line, flags=re.I)
+    return line
+
+
+def page_fragments(lines: list[tuple[int, str]], fixes: dict[int, list[tuple[str, str]]], broken: set[int]) -> tuple[bool, bool, list[tuple[int, str, bool]]]:
+    """(begins with a paragraph of its own, ends one, [(paragraphs begun before it on the page, text, whether the next part joins without a blank)])."""
+    width = max((len(x) for _, x in lines), default=0)
+    out: list[tuple[int, str, bool]] = []
+    text, is_open, n, closed, starts = "", False, 0, False, False
+    for i, (no, x) in enumerate(lines):
+        line = _corrected(x, fixes[no]) if no in fixes else x
+        own = bool(SPEAKER.match(line)) and not is_open
+        if i == 0:
+            starts = own
+        elif own or (closed and not is_open):
+            out.append((n, text, False))
+            text, n = "", n + 1
+        line = " ".join(line.split())
+        text = line if not text else text + line if is_open else f"{text} {line}"
+        closed = len(x.rstrip()) < SHORT * width and x.rstrip()[-1:] in ".?!"
+        is_open = len(line) > 1 and line[-1] in HYPHENS and line[-2].isalpha()
+        if is_open and no in broken:
+            text = text[:-1]
+    if text:
+        out.append((n, text, is_open))
+    return starts, closed, out
+
+
+def paragraphs(pages: DataFrame) -> DataFrame:
+    """doc_id, paragraph_no (from 1), page_start, page_end, text and pages (offset in text and page_no of each stretch).
+
+    The running text of each document, repaired: furniture left out, cut words joined, misread words corrected, single
+    blanks. A paragraph begins with a speaker's label or after a short line that ends a sentence, and goes on across
+    pages. Pages without running words give nothing; for nulls, repeated and empty tables see :func:`faults`.
+    """
+    body = written(running_pages(pages, keep_raw=True), "body")
+    words = written(word_counts(body.select("lines")), "words")
+    bad = written(misread_words(words), "misread")
+    none = F.lit(None).cast("string")
+    cut = broken_words(cut_words(body.drop("raw")), words).select("doc_id", "page_no", "no", none.alias("w"), none.alias("right"))
+    wrong = misread_places(body.select("doc_id", "page_no", "nos", "lines"), words, bad).select("doc_id", "page_no", F.col("line_no").alias("no"), "w", "right")
+    fixes = cut.unionByName(wrong).distinct().groupBy(F.col("doc_id").alias("_d"), F.col("page_no").alias("_p")).agg(F.sort_array(F.collect_list(F.struct("no", "w", "right"))).alias("fixes"))
+    page = body.where("size(nos) > 0").select("doc_id", "page_no", "nos", "raw").join(fixes, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("page_no").eqNullSafe(F.col("_p")), "left").select("doc_id", "page_no", "nos", "raw", "fixes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.list_(pa.struct([("n", pa.int32()), ("text", pa.string()), ("open", pa.bool_())]))]
+        for b in batches:
+            out = []
+            for d, p, nos, raw, found in zip(*(b.column(i).to_pylist() for i in range(5))):
+                right: dict[int, list] = {}
+                for f in found or ():
+                    if f["w"] is not None:
+                        right.setdefault(f["no"], []).append((f["w"], f["right"]))
+                starts, closes, parts = page_fragments(list(zip(nos, raw.split("\n"))), right, {f["no"] for f in found or () if f["w"] is None})
+                if parts:
+                    out.append((d, p, xxhash.xxh64_intdigest(raw) - (1 << 63), starts, closes, parts[-1][0], [{"n": n, "text": t, "open": o} for n, t, o in parts]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], [c.split(" ")[0] for c in _FRAGMENTS.replace("struct<n:int,text:string,open:boolean>", "struct").split(", ")])
+
+    part = written(page.mapInArrow(run, _FRAGMENTS), "fragments")
+    # what the page before it leaves open, in blocks of pages: the order is turned round, so that what follows came before
+    key = part.select("doc_id", "page_no", "text_hash", "starts", "closes", "inside", (-F.coalesce(F.col("page_no"), F.lit(-(2**40)))).alias("back"))
+    key = following(key, ["doc_id"], "back", F.col("closes"), "before").withColumn("new", (F.col("starts") | F.coalesce(F.get("before", F.lit(0)), F.lit(True))).cast("long"))
+    key = with_block(key, "page_no", 2048)
+    inside = Window.partitionBy("doc_id", "_blk").orderBy(F.col("page_no").asc_nulls_first(), "text_hash").rowsBetween(Window.unboundedPreceding, 0)
+    begun = F.col("new") + F.col("inside")
+    sums = key.groupBy("doc_id", "_blk").agg(F.sum(begun).alias("_s"))
+    across = Window.partitionBy("doc_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("doc_id").alias("_d"), F.col("_blk").alias("_b"), F.coalesce(F.sum("_s").over(across), F.lit(0)).alias("_had"))
+    key = key.withColumn("_to", F.sum(begun).over(inside)).join(sums, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_blk") == F.col("_b")), "left")
+    key = key.select(F.col("doc_id").alias("_d"), F.col("page_no").alias("_p"), F.col("text_hash").alias("_h"), (F.col("_had") + F.col("_to") - F.col("inside")).alias("at"))
+    rows = part.join(key, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("page_no").eqNullSafe(F.col("_p")) & (F.col("text_hash") == F.col("_h")))
+    rows = rows.select("doc_id", "page_no", "text_hash", "at", F.explode("fragments").alias("f")).select("doc_id", (F.col("at") + F.col("f.n")).alias("paragraph_no"), F.struct(F.coalesce("page_no", F.lit(-1).cast("long")).alias("p"), F.col("text_hash").alias("h"), F.col("f.n").alias("n"), F.col("f.text").alias("t"), F.col("f.open").alias("o")).alias("f"))
+    rows = rows.groupBy("doc_id", "paragraph_no").agg(F.sort_array(F.collect_list("f")).alias("fs"))
+    step = F.expr("""aggregate(fs, named_struct('text', '', 'open', true, 'pages', cast(array() as array<struct<offset:int,page_no:bigint>>)),
+      (a, f) -> named_struct('text', concat(a.text, if(a.open, '', ' '), f.t), 'open', f.o,
+        'pages', concat(a.pages, array(named_struct('offset', length(a.text) + if(a.open, 0, 1), 'page_no', f.p)))))""")
+    rows = rows.select("doc_id", "paragraph_no", F.col("fs")[0]["p"].alias("page_start"), F.element_at("fs", -1)["p"].alias("page_end"), step.alias("r"))
+    return rows.select("doc_id", "paragraph_no", "page_start", "page_end", F.col("r.text").alias("text"), F.col("r.pages").alias("pages"))
+
+
 def p2_found(spark: SparkSession, directory: str) -> DataFrame:
     return faults(table(spark, directory, "pages")).select("doc_id", "page_no", "line_no", "fault")
+
+
+def p2_paragraphs(spark: SparkSession, directory: str) -> DataFrame:
+    """The repaired running text of every document, paragraph by paragraph."""
+    return paragraphs(table(spark, directory, "pages"))
