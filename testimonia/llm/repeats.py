@@ -1,8 +1,9 @@
 """Runs of near-identical consecutive events, collapsed to one event each.
 
-Plan: one range exchange by (entity, order), one sort inside partitions, one pass of a state machine over each sorted
-partition. An entity can span many partitions; the first and the last run of each partition are fragments, and a table
-of two rows per partition joins those that belong together. No task ever holds a whole entity.
+Plan: the events are written once, then one range exchange by (entity, order), one sort inside partitions, one pass of a
+state machine over each sorted partition. An entity can span many partitions; the first and the last run of each
+partition are fragments, and a table of two rows per partition, exchanged to one task, joins those that belong together.
+No task ever holds a whole entity.
 """
 
 from __future__ import annotations
@@ -85,11 +86,11 @@ def _fragments(batches: Iterator[pa.RecordBatch], similarity: float, max_gap: fl
         seq += 1
 
     for batch in batches:
-        for now in zip(*[batch.column(k).to_pylist() for k in ("entity", "pos", "start_s", "end_s", "text")]):
+        for now in zip(*[batch.column(k).to_pylist() for k in ("entity", "pos", "start_s", "end_s", "text", "shown")]):
             if now == row:  # delivered twice
                 continue
             row = now
-            entity, pos, start, end, text = now
+            entity, pos, start, end, text, shown = now
             if run is not None and run[0] == entity and _joins(run[8], run[9], text, start, similarity, max_gap):
                 run[2] = pos
                 run[3] += 1
@@ -99,7 +100,7 @@ def _fragments(batches: Iterator[pa.RecordBatch], similarity: float, max_gap: fl
             else:
                 if run is not None:
                     flush(False)
-                run = [entity, pos, pos, 1, start, end, text, text, text, end]
+                run = [entity, pos, pos, 1, start, end, shown, text, text, end]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
             out = []
@@ -132,33 +133,41 @@ def _stitch(batches: Iterator[pa.RecordBatch], similarity: float, max_gap: float
 def collapse_runs(events: DataFrame, similarity: float = SIMILARITY, max_gap: float | None = None) -> DataFrame:
     """One row per maximal run of events, each near-identical to the one before it.
 
-    ``events``: entity string, pos long, start_s double, end_s double, text string. Other columns are not read.
-    The anchor with which an event is compared moves along: it is the run's latest event. ``max_gap``: seconds between
-    the anchor's end and the event's start beyond which a run ends; None or a null time: no limit.
+    ``events``: entity string, pos long, start_s double, end_s double, text string (what is compared) and, if it is
+    there, shown string, of which a run has its first event's as its text; else it has that event's text. Other columns
+    are not read. The anchor with which an event is compared moves along: it is the run's latest event. ``max_gap``:
+    seconds between the anchor's end and the event's start beyond which a run ends; None or a null time: no limit.
     Events with a null or empty text are no events. A row delivered twice counts once. Equal positions are ordered by
     times and text. A null entity is an entity of its own; a null position comes first. An empty table gives no rows.
     """
-    events = events.select("entity", "pos", "start_s", "end_s", "text").where("text <> ''")
-    order = ["entity", "pos", "start_s", "end_s", "text"]
-    ranged = events.repartitionByRange(*order).sortWithinPartitions(*order)
+    shown = F.col("shown") if "shown" in events.columns else F.col("text")
+    events = events.select("entity", "pos", "start_s", "end_s", "text", shown.alias("shown")).where("text <> ''")
+    order = ["entity", "pos", "start_s", "end_s", "text", "shown"]
+    # a range exchange reads its input twice, once for the bounds: what is cleaned is written first
+    ranged = written(events, "events").repartitionByRange(*order).sortWithinPartitions(*order)
     pieces = ranged.mapInArrow(lambda it: _fragments(it, similarity, max_gap), FRAGMENT)
     # the pass over the sorted rows is Python work: it is written once and both branches read it
     pieces = written(pieces, "runs")
     inner = pieces.where("edge = 0").select("entity", "first_pos", "last_pos", "n_events", "start_s", "end_s", "text")
-    edges = pieces.where("edge <> 0").coalesce(1)  # two rows a partition
+    edges = pieces.where("edge <> 0").repartition(1)  # two rows a partition; the scan and the filter stay parallel
     runs = inner.unionByName(edges.mapInArrow(lambda it: _stitch(it, similarity, max_gap), RUN))
     return runs.withColumn("duration_s", F.col("end_s") - F.col("start_s"))
 
 
+def caption(lines: Column) -> Column:
+    """Lines joined by a blank as they are shown: without markup, single blanks."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.array_join(lines, " "), "<[^>]*>", ""), r"(?U)\s+", " "))
+
+
 def cue_events(spark: SparkSession, directory: str) -> DataFrame:
     c = table(spark, directory, "cues")
-    return c.select(F.col("doc_id").alias("entity"), F.col("pos").cast("long").alias("pos"), "start_s", "end_s", event_text(F.col("lines")).alias("text"))
+    return c.select(F.col("doc_id").alias("entity"), F.col("pos").cast("long").alias("pos"), "start_s", "end_s", event_text(F.col("lines")).alias("text"), caption(F.col("lines")).alias("shown"))
 
 
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:
-    return collapse_runs(cue_events(spark, directory)).where("n_events > 1").select(F.col("entity").alias("doc_id"), "first_pos", "last_pos").distinct()
+    return collapse_runs(cue_events(spark, directory).drop("shown")).where("n_events > 1").select(F.col("entity").alias("doc_id"), "first_pos", "last_pos").distinct()
 
 
 def p1_runs(spark: SparkSession, directory: str) -> DataFrame:
-    """Every caption once, with its number of cues and its time."""
+    """Every caption once, as shown, with its number of cues and its time."""
     return collapse_runs(cue_events(spark, directory)).withColumnRenamed("entity", "doc_id")
