@@ -2,9 +2,10 @@
 
 Token weights are raked (iterative proportional fitting) over cells of source, language and topic: sources get their
 target shares, languages and topics the shares that they have in the sources used. The cells are few; the fit never
-sees a document. A document's expected number of uses is its cell's weight, never above its source's limit, and whole
-uses are drawn by systematic sampling: inside a bucket of a source, documents are taken whenever the running sum of
-token weights passes a mark, so that what a source really gets differs from its target by less than a document a bucket.
+sees a document. A document's expected number of uses is its cell's weight, never above its source's limit. Whole uses
+are drawn by these probabilities, calibrated as the draw goes on: inside a bucket of a source, from the largest document
+to the smallest, each with a seeded random number of its own, and the probabilities of those left are scaled so that the
+bucket still comes to its tokens. Every document has its chance; the smallest ones make up for what the large ones took.
 """
 
 from __future__ import annotations
@@ -70,41 +71,39 @@ def rake(cells: pd.DataFrame, targets: dict[str, float], caps: dict[str, float],
     return use, total
 
 
-def _whole_uses(use: np.ndarray, tokens: np.ndarray, cap: np.ndarray) -> np.ndarray:
-    """Whole numbers next to ``use``; the running remainder of tokens decides which, from the first document to the last."""
-    out, rest = np.zeros(len(use), np.int64), 0.0
-    for i, (u, t, c) in enumerate(zip(use, tokens, cap)):
-        want = u * t + rest
-        out[i] = n = int(min(c, max(np.floor(u), min(np.ceil(u), np.floor(want / t + 0.5)))))
-        rest = want - n * t
+def _whole_uses(use: np.ndarray, tokens: np.ndarray, cap: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Whole uses of documents in their order, drawn by probabilities that are calibrated to the tokens still wanted."""
+    weight = use * tokens
+    want, left = weight.sum(), np.append(np.cumsum(weight[::-1])[::-1], 0.0)
+    out = np.zeros(len(use), np.int64)
+    for i, (u, t, c, r) in enumerate(zip(use, tokens, cap, chance)):
+        p = min(c, max(0.0, u * want / left[i])) if left[i] > 0 else 0.0
+        low = np.floor(p)
+        out[i] = n = int(low) + int(r < p - low)
+        want -= n * t
     return out
 
 
 def _draw(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Whole uses of the documents of one bucket, largest documents first, so that the last remainder is small.
+    """Whole uses of the documents of one bucket, the largest first, so that the last remainder is small.
 
-    Where a document is large beside the whole bucket its whole use can miss the mark; then the draw without such
-    documents, the others used more within their caps, is taken if it comes nearer.
+    A document larger than its whole bucket's tokens keeps its chance: where it is drawn, its source comes out above its
+    target, and the shares reached say so.
     """
     pdf = pdf.sort_values(["tokens", "mark", "doc_id"], ascending=[False, True, True], kind="stable")
     use, tokens, cap = (pdf[c].to_numpy(float) for c in ("use", "tokens", "cap"))
-    want = (use * tokens).sum()
-    n = _whole_uses(use, tokens, cap)
-    small = np.where(tokens <= want / 4, use, 0.0)
-    if want > 0 and (small * tokens).sum() > 0 and abs((n * tokens).sum() - want) > 0.01 * want:
-        other = _whole_uses(np.minimum(cap, small * want / (small * tokens).sum()), tokens, cap)
-        if abs((other * tokens).sum() - want) < abs((n * tokens).sum() - want):
-            n = other
-    return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": pdf["tokens"], "n_uses": n})
+    chance = pdf["mark"].to_numpy(np.int64).view(np.uint64) / 2.0**64
+    return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": pdf["tokens"], "n_uses": _whole_uses(use, tokens, cap, chance)})
 
 
-def mix_sources(docs: DataFrame, targets: DataFrame, lang: str = "lang", topic: str = "document_type", **tokenizer) -> DataFrame:
+def mix_sources(docs: DataFrame, targets: DataFrame, lang: str = "lang", topic: str = "document_type", seed: int = 17, **tokenizer) -> DataFrame:
     """(doc_id, source, tokens, n_uses) of each document of a source with a target; n_uses may be 0.
 
     ``docs``: doc_id, text, source, lang, topic. A text in several rows counts as one text: the row of the smallest
     doc_id stands for it, in all sources, so that no text is used above its source's max_repeats. Texts without tokens
     and rows without a target's source are left out; null languages and topics are values of their own. Repeated target
-    rows count once; null shares and limits count as 0. Without targets or documents there are no rows.
+    rows count once; null shares and limits count as 0. Without targets or documents there are no rows. One ``seed`` gives
+    one draw.
     """
     docs = docs.select("doc_id", "text", "source", F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(topic), F.lit("")).alias("topic"))
     targets = targets.select("source", "target_share", "max_repeats").where("source is not null").distinct()
@@ -114,10 +113,9 @@ def mix_sources(docs: DataFrame, targets: DataFrame, lang: str = "lang", topic:
     aim = aim.fillna({"target_share": 0.0, "max_repeats": 0})
     shares, caps = dict(zip(aim.source, aim.target_share)), dict(zip(aim.source, aim.max_repeats))
     used = docs.join(F.broadcast(targets.select("source")), "source", "left_semi")
-    print_of = F.sha2(F.col("text"), 256)
-    sized = encode_texts(used, **tokenizer).select("doc_id", F.size("ids").alias("tokens"))
-    marks = used.select("doc_id", "source", "lang", "topic", print_of.alias("print"))
-    sized = marks.join(sized, "doc_id").where("tokens > 0")
+    used = used.where("text <> ''").withColumn("print", F.sha2("text", 256))
+    # one pass over the texts gives tokens and prints; the columns go along
+    sized = encode_texts(used, keep=("source", "lang", "topic", "print"), **tokenizer).withColumn("tokens", F.size("ids")).drop("ids").where("tokens > 0")
     first = F.struct("doc_id", "source", "lang", "topic", "tokens")
     one = written(sized.groupBy("print").agg(F.min_by(first, "doc_id").alias("d")).select("d.*"), "sized")
     cells = one.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).limit(MAX_CELLS + 1).toPandas()
@@ -131,7 +129,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, lang: str = "lang", topic:
     rows = list(cells[["source", "lang", "topic", "use", "cap", "buckets"]].itertuples(index=False, name=None))
     weights = docs.sparkSession.createDataFrame(rows, "source string, lang string, topic string, use double, cap double, buckets int")
     drawn = one.join(F.broadcast(weights), ["source", "lang", "topic"])  # one row per cell
-    drawn = drawn.withColumn("mark", F.xxhash64("doc_id")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), "buckets"))
+    drawn = drawn.withColumn("mark", F.xxhash64("doc_id", F.lit(seed))).withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), "buckets"))
     return drawn.groupBy("source", "bucket").applyInPandas(_draw, "doc_id long, source string, tokens long, n_uses long")
 
 

@@ -178,14 +178,14 @@ def frequent_words(texts: DataFrame, most: int = LEXICON) -> list[str]:
     return [r[0] for r in counts.orderBy(F.desc("n"), "w").limit(most).select("w").collect()]
 
 
-def encode_texts(docs: DataFrame, key: str = "doc_id", vocabulary: str | None = None, lexicon: int = LEXICON) -> DataFrame:
-    """(key, ids): the ids of each row's ``text``, without special tokens.
+def encode_texts(docs: DataFrame, key: str = "doc_id", vocabulary: str | None = None, lexicon: int = LEXICON, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, ids) and the columns ``keep``: the ids of each row's ``text``, without special tokens.
 
     A null and an empty text both give an empty list; a special token's string is ordinary text. Each row gives a row,
     repeated ones too; other columns are not read. ``vocabulary``: path of a ranks file, read by the driver only.
     """
     spark = docs.sparkSession
-    docs = docs.select(key, "text")
+    docs = docs.select(key, "text", *keep)
     with open(vocabulary or default_vocabulary(), "rb") as f:
         content = f.read()
     ranks = read_ranks(content)
@@ -219,9 +219,10 @@ def encode_texts(docs: DataFrame, key: str = "doc_id", vocabulary: str | None =
                     flat.extend(chain.from_iterable(map(get, (plain if t.isascii() else full).findall(t))))
                 ends.append(len(flat))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids], [key, "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, *b.columns[2:]], [key, "ids", *keep])
 
-    return docs.mapInArrow(encode, f"{key} {docs.schema[key].dataType.simpleString()}, ids array<int>")
+    kind = lambda c: f"{c} {docs.schema[c].dataType.simpleString()}"
+    return docs.mapInArrow(encode, ", ".join([kind(key), "ids array<int>", *map(kind, keep)]))
 
 
 def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
