@@ -8,8 +8,10 @@ QUERIES = {
     "p1_found": repeats.p1_found,
     "p1_runs": repeats.p1_runs,
     "p2_found": scans.p2_found,
+    "p2_paragraphs": scans.p2_paragraphs,
     "p3_found": pieces.p3_found,
     "p3_pieces": pieces.p3_pieces,
+    "p3_file_pieces": pieces.p3_file_pieces,
     "p4_found": speakers.p4_found,
     "p4_turns": speakers.p4_turns,
     "p4_caption_turns": speakers.p4_caption_turns,
@@ -38,6 +40,9 @@ g as (select *, sum(b) over (partition by doc_id order by pos) as run from f)
 SQL = {
     "p1_found": _EVENTS + "select doc_id, cast(min(pos) as bigint) as first_pos, cast(max(pos) as bigint) as last_pos from g group by doc_id, run having count(*) > 1",
     "p3_found": "select distinct chunk_id from chunks where length(text) > 1800",
+    "p1_runs": _EVENTS.replace("select distinct doc_id, pos, start_s, end_s,", "select distinct doc_id, pos, start_s, end_s, lines,").replace("order by pos)", "order by pos, start_s, end_s, t, lines)") + r"""
+select doc_id, cast(min(pos) as bigint) as first_pos, cast(max(pos) as bigint) as last_pos, count(*) as n_events, min(start_s) as start_s, max(end_s) as end_s,
+  trim(regexp_replace(regexp_replace(array_to_string(arg_min(lines, pos), ' '), '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) as text, max(end_s) - min(start_s) as duration_s from g group by doc_id, run""",
     "p5_found": r"""
 with m as (
   select chunk_id, unnest(list_concat(coalesce(person, []), coalesce(org, []))) as n from mentions

@@ -35,6 +35,14 @@ def test_p1_runs(spark):
     assert repeats.collapse_runs(df.limit(0)).count() == 0
 
 
+def test_p1_gap_ends_a_run_and_the_caption_is_as_shown(spark):
+    rows = [("a", 1, 0.0, 1.0, "one two", "One two."), ("a", 2, 1.5, 2.0, "one two", "ONE two"), ("a", 3, 9.0, 10.0, "one two", "one, two"), ("a", 4, None, None, "one two", "x"), ("a", 5, 30.0, 31.0, "one two", "y")]
+    df = spark.createDataFrame(rows, "entity string, pos long, start_s double, end_s double, text string, shown string")
+    got = sorted((r["first_pos"], r["last_pos"], r["text"]) for r in repeats.collapse_runs(df, max_gap=2.0).collect())
+    assert got == [(1, 2, "One two."), (3, 5, "one, two")]
+    assert [r["n_events"] for r in repeats.collapse_runs(df).collect()] == [5]
+
+
 def test_p1_one_entity_over_many_partitions(spark):
     df = spark.range(4000).selectExpr("'v' as entity", "id as pos", "double(id) as start_s", "double(id + 1) as end_s", "repeat(char(97 + cast(id / 500 as int)), 20) as text", "0 as _blk")
     assert sorted(r["n_events"] for r in repeats.collapse_runs(df).collect()) == [500] * 8
@@ -51,6 +59,19 @@ def test_p2_faults(spark):
     assert scans.faults(df.limit(0)).count() == 0
 
 
+def test_p2_paragraphs_over_pages(spark):
+    body = ["the storekeeper released the ledger to the clerk", "and the storekeeper signed the released ledger", "because the appointment was released before then"]
+    pages = [("d", i, "\n".join(["HARROW COMMISSION", *body * 3, f"- {i} -"]), 1) for i in range(1, 7)]
+    pages += [("e", 1, "HARROW COMMISSION\nCLERK:  The store-\nkeeper rcleased it\n \nand so it goes on through to the end of it.\nSo be it.\nAnother stretch that is cut after the well-\nknown store-\n- 1 -", 1)]
+    pages += [("e", 2, "HARROW COMMISSION\nkeeper and goes on to the end of the line here.\nADV BETA:  No.\n- 2 -", 1), ("f", 1, None, 1), ("g", 1, " \n", 1)]
+    df = spark.createDataFrame(pages + pages[-4:-3], "doc_id string, page_no int, text string, paragraph_no int")
+    got = [(r["paragraph_no"], r["page_start"], r["page_end"], r["text"], [tuple(x) for x in r["pages"]]) for r in scans.paragraphs(df).where("doc_id = 'e'").orderBy("paragraph_no").collect()]
+    first = "CLERK: The storekeeper released it and so it goes on through to the end of it. So be it."
+    second = "Another stretch that is cut after the well-known storekeeper and goes on to the end of the line here."
+    assert got == [(1, 1, 1, first, [(0, 1)]), (2, 1, 2, second, [(0, 1), (second.index("keeper"), 2)]), (3, 2, 2, "ADV BETA: No.", [(0, 2)])]
+    assert scans.paragraphs(df.limit(0)).count() == 0
+
+
 def test_p3_pieces(spark):
     rng = random.Random(2)
     text = "".join(rng.choice(["Ünïcode wörds. ", "a line\n", "more, ", "end?\n\n"]) for _ in range(3000))
@@ -68,8 +89,14 @@ def test_p3_files_by_ranges(spark, tmp_path):
     text = "héllo wörld. 汉字 line\n" * 5000
     (tmp_path / "a.txt").write_text(text)
     size = (tmp_path / "a.txt").stat().st_size
-    got = pieces.split_files(spark, spark.createDataFrame([(str(tmp_path / "a.txt"), size)], "path string, size long"), range_bytes=10_000)
+    (tmp_path / "b.txt").write_text("")
+    paths = spark.createDataFrame([(str(tmp_path / "a.txt"), size), (f"file:{tmp_path}/b.txt", 0)], "path string, size long")
+    every = pieces.split_files(spark, paths, range_bytes=10_000)
+    got = every.where("path like '%a.txt'")
+    assert [(r["piece_no"], r["piece"]) for r in every.where("path like '%b.txt'").collect()] == [(0, "")]
     want = pieces.split_items(spark.createDataFrame([(text,)], "text string"))
+    other = pieces.split_items(spark.createDataFrame([(text,)], "text string"), range_chars=977)
+    assert sorted((r["piece_no"], r["piece"]) for r in other.collect()) == sorted((r["piece_no"], r["piece"]) for r in want.collect())
     assert sorted((r["piece_no"], r["piece"]) for r in got.collect()) == sorted((r["piece_no"], r["piece"]) for r in want.collect())
 
 
@@ -212,6 +239,16 @@ def test_p9_shares_and_caps(spark):
 GOOD = ["The witness said that the ledger was kept at the registry.", "It is recorded that nobody had told the clerk about it.", "He could not confirm what was said before the meeting."]
 
 
+def test_p9_large_documents_keep_their_chance(spark):
+    """A document larger than its source's whole target is drawn by its probability, as any other."""
+    use, tokens = np.full(101, 0.25), np.array([4000.0] + [10.0] * 100)
+    rng = np.random.default_rng(3)
+    drawn = np.array([mixture._whole_uses(use, tokens, np.ones(101), rng.random(101)) for _ in range(2000)])
+    assert abs(drawn[:, 0].mean() - 0.25) < 0.03 and drawn.max() == 1
+    used = (drawn * tokens).sum(1)
+    assert set(drawn[drawn[:, 0] == 0].sum(1)) == {100} and (used[drawn[:, 0] == 1] == 4000).all()
+
+
 def test_p10_pages(spark):
     rng = random.Random(7)
     rows = [(i, " ".join(rng.choice(GOOD) for _ in range(12)), "en", 0) for i in range(120)]
