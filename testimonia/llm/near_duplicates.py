@@ -186,8 +186,8 @@ def signatures(parts: DataFrame) -> DataFrame:
     return single.unionByName(joined.select("doc_id", own.alias("print"), "sig", "sketch"))
 
 
-def _most_apart(similarity: float, sigmas: float = 6.0) -> int:
-    """Positions in which two sketches may differ; six standard errors below the similarity count as excluded."""
+def _most_apart(similarity: float, sigmas: float = 4.0) -> int:
+    """Positions in which two sketches may differ; four standard errors below the similarity count as excluded (one pair in 30,000 at the similarity itself)."""
     k = TREES * DEPTH
     agree = similarity + (1 - similarity) / 4
     return int((1 - agree) * k + sigmas * (agree * (1 - agree) * k) ** 0.5)
