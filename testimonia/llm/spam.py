@@ -50,12 +50,14 @@ for _c in range(128):
         _TABLE[_c] = 32
 for _c in b"\n\r;|":
     _TABLE[_c] = 1
-_TABLE[0], _TABLE[2] = 0, 2
+for _c in b".?!":
+    _TABLE[_c] = 2
+_TABLE[0] = 0
 _TABLE = bytes(_TABLE)
 
 
 def tokens_of(texts: list[str]) -> list[bytes]:
-    """Words in lower case, 0x01 where list items are parted, 0x02 where a sentence ends, and 0x00 after each text.
+    """Words in lower case, 0x01 where list items are parted, 0x02 at full stops, question and exclamation marks, and 0x00 after each text.
 
     Whole-buffer replacements and one table do the work; signs outside ASCII other than the fixed ones count as letters.
     """
@@ -65,9 +67,6 @@ def tokens_of(texts: list[str]) -> list[bytes]:
             for c in signs:
                 s = s.replace(c, to)
     raw = s.encode("utf-8", "replace").replace(b" / ", b" ; ").replace(b" * ", b" ; ")
-    for mark in b".?!":
-        for after in b" \n\r\x00":
-            raw = raw.replace(bytes((mark, after)), bytes((32, 2, after)))
     raw = raw.translate(_TABLE, b"'")
     return raw.replace(b"\x00", b" \x00 ").replace(b"\x01", b" \x01 ").replace(b"\x02", b" \x02 ").split()
 
