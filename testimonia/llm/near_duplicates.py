@@ -8,7 +8,7 @@ The depth adapts to each region. Neighbours in a region of at most REGION docume
 larger region is sorted anew in BRANCHES further orders, each by one more hash; a pair of similarity J is found again in
 BRANCHES * J of them on average, so pairs of J = 0.55 multiply (1.65) while pairs below a third die out. Where the orders
 do not part a region, its documents are alike, and all of them are compared, block by block. So no pair is given up
-because its region is full: at J = 0.55 a pair is missed with (1 - 0.55 ** DEPTH * 0.849) ** TREES = 0.002 at most,
+because its region is full: at J = 0.55 a pair is missed with (1 - 0.55 ** DEPTH * 0.849) ** TREES = 0.008 at most,
 0.849 being the chance that a branching process with three trials of 0.55 never dies.
 
 Neighbours are compared by sketches of two bits a hash inside the task that holds the region, so that only likely pairs
@@ -30,7 +30,7 @@ from testimonia.llm.shared import written
 from testimonia.sources.tables import table
 
 WORDS, SIMILARITY = 3, 0.55
-TREES, DEPTH, BRANCHES = 40, 3, 3
+TREES, DEPTH, BRANCHES = 32, 3, 3
 #: Documents of a region that are compared with each other without a deeper order.
 REGION = 256
 #: Deeper orders of a full region; what is still full below them is compared whole.
@@ -94,7 +94,9 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     low = np.full(len(_A), 0xFFFFFFFF, np.uint32)
     x = ((hashes ^ (hashes >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     for i in range(0, len(x), 1024):  # pieces that stay in the cache
-        low = np.minimum(low, (x[i : i + 1024, None] * _A + _B).min(axis=0))
+        y = np.multiply(x[i : i + 1024, None], _A)
+        y += _B
+        np.minimum(low, y.min(axis=0), out=low)
     return low
 
 
@@ -269,8 +271,8 @@ def _whole_regions(rows: DataFrame, most: int) -> DataFrame:
 def forest_pairs(reps: DataFrame, similarity: float = SIMILARITY, region: int = REGION) -> DataFrame:
     """Distinct likely pairs (a < b) of ``reps`` (id long, sig, sketch): neighbours in the sorted orders of the forest."""
     most, k = _most_apart(similarity), TREES * DEPTH
-    label = F.xxhash64(F.col("t"), *[F.get("sig", F.col("t") * DEPTH + i) for i in range(DEPTH)])
-    rows = reps.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")).select(label.alias("key"), "id")
+    labels = F.array(*[F.xxhash64(F.lit(t), *[F.get("sig", F.lit(t * DEPTH + i)) for i in range(DEPTH)]) for t in range(TREES)])
+    rows = reps.select("id", F.explode(labels).alias("key"))
     sketches, out = reps.select("id", "sketch"), []
     for level in range(LEVELS + 1):
         # the sizes of the regions come first, so that no full one is ever brought together; labels and ids alone are exchanged
