@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from testimonia.functions import text as T
-from testimonia.operators import corpus as C, graph as G, packing
+from testimonia.operators import corpus as C, graph as G
 from testimonia.sources.tables import table
 
 QUERIES: dict = {}
@@ -172,28 +172,6 @@ def _(spark, d):
     return C.clean_turns(_t(spark, d, "turns")).select("doc_id", "turn_no", F.last(F.nullif("speaker", F.lit("")), ignorenulls=True).over(w).alias("label"))
 
 
-@query("t5_packed_turns")
-def _(spark, d):
-    return packing.pack(C.clean_turns(_t(spark, d, "turns")).select("doc_id", F.col("turn_no").cast("long").alias("pos"), "speaker", "text"))
-
-
-# --- captions -----------------------------------------------------------------------------------------------------
-
-
-@query("w7_caption_lines", r"""with c as (select distinct doc_id, pos, start_s, end_s, lines from cues),
-k as (select doc_id, pos, list_filter(list_transform(coalesce(lines, []), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', '', 'g'), '\s+', ' ', 'g'))), lambda x: x is not null and x <> '') as l from c),
-p as (select *, coalesce(lag(l) over (partition by doc_id order by pos), []) as p from k), f as (select doc_id, pos, list_filter(l, lambda x: not list_contains(p, x)) as kept from p)
-select doc_id, pos, array_to_string(kept, ' ') as text from f where len(kept) > 0""")
-def _(spark, d):
-    return C.caption_lines(_t(spark, d, "cues"))
-
-
-@query("t6_caption_segments")
-def _(spark, d):
-    c = C.caption_lines(_t(spark, d, "cues"))
-    return packing.pack(c.select("doc_id", F.col("pos").cast("long").alias("pos"), F.lit(None).cast("string").alias("speaker"), "text"), joint=" ")
-
-
 # --- days ---------------------------------------------------------------------------------------------------------
 
 _SERIES = "s as (select try_strptime(hearing_date, '%Y-%m-%d')::date as d, count(distinct chunk_id) as chunks, sum(length(text)) as chars from (select distinct chunk_id, day_no, hearing_date, text from chunks where regexp_full_match(hearing_date, '\\d{4}-\\d{2}-\\d{2}')) where day_no is not null group by 1 having d is not null)"

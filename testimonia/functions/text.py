@@ -19,7 +19,22 @@ STANCES = {
     "question": ["asked", "whether", "questioned", "put to", "do you", "did you", "you say", "correct?"],
     "assert": ["stated", "testified", "said", "confirmed", "alleged", "claimed", "maintained", "described", "indicated", "accepted", "conceded", "agreed"],
 }
+# Lines of layout: a number alone, the running header, a page mark.
 FURNITURE = [r"^\s*\d{1,3}\s*$", r"^\s*\d{1,2}\s+[A-Z]+\s+\d{4}\s*[–-]\s*DAY\s+\d+\s*$", r"(?i)^\s*Page\s+\d+\s+of\s+\d+\s*$"]
+# Lines that are layout where two publications of one sitting are compared.
+LAYOUT = r"^Page \d+ of \d+$|^\d{1,3}$|–\s*DAY \d+\s*$"
+# The forms of a speaker's label in running text: a title and capitals, a role, a heading of examination.
+_TITLE = r"(?:ADVOCATE|ADV|MRS|MR|MISS|MS|DR|PROF|LT[-\s]?GEN|MAJ[-\s]?GEN|BRIG|GENERAL|GEN|COL|CAPT|MAJ|SGT|CONST|W/O|LIEUTENANT)"
+_ROLE = r"(?:THE\s+)?(?:CHAIRPERSON|COMMISSIONER|WITNESS|INTERPRETER|REGISTRAR)"
+_HEADING = r"(?:CROSS[-\s]?|RE[-\s]?)?EXAMINATION(?:\s+IN\s+CHIEF)?\s+BY\s+[A-Z][A-Z .'\-]*?(?:\s*\(CONTINUES?\))?"
+LABEL = rf"{_TITLE}\s+[A-Z][A-Z .'\-]*?|{_ROLE}|{_HEADING}"
+LABEL_PATTERN = rf"(?:^|(?<=\s))({LABEL})\s*:\s"
+# A role with a surname, which is no label to the detector above.
+ROLE_SURNAME_PATTERN = r"(?:^|(?<=\s))((?:COMMISSIONER|CHAIRPERSON|WITNESS|INTERPRETER|REGISTRAR)\s+[A-Z][A-Z .'\-]*?)\s*:\s"
+# What makes a claim strong.
+STRONG = r"(?i)\b(deni|paid|pay|fund|own|met|meet|arrang|instruct|bribe|appoint|award|sign|interdict|kill|threat|influenc|corrupt|recruit|assist|transfer)"
+# Words of allegation.
+ALLEGATION = r"(?i)\b(stated|testified|alleged|allegation|said|told|instructed|claimed|denied|reported|accused|according to)\b"
 WORD = r"(?U)\b[\w'-]+\b"
 
 
@@ -83,6 +98,10 @@ def claim_key(chunk: Column, speaker: Column, predicate: Column, start: Column,
     return F.sha2(F.concat(chunk, F.lit("|"), speaker, F.lit("|"), norm, F.lit("|"), start.cast("string"), F.lit(":"), end.cast("string")), 256)
 
 
+def chunk_id(document: Column, index: Column, text: Column) -> Column:
+    return F.sha2(F.concat(document, F.lit(":"), index.cast("string"), F.lit(":"), text), 256)
+
+
 def hearing_key(slug: Column, day: Column, date: Column) -> Column:
     known = day.isNotNull() & (F.coalesce(date, F.lit("")) != "")
     return F.when(known, F.concat(slug, F.lit("-day-"), day.cast("string"), F.lit("-"), date)).otherwise(F.concat(slug, F.lit("-unknown")))
@@ -95,12 +114,72 @@ def point_id(name: Column) -> Column:
     return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
-def snippet(s: Column, limit: int) -> Column:
-    """Blanks collapsed; a longer text is cut hard and marked."""
-    t = F.trim(F.regexp_replace(s, r"\s+", " "))
+def clipped(s: Column, limit: int) -> Column:
+    """Blanks collapsed; a longer text is cut hard and marked. Null is empty."""
+    t = F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), r"(?U)\s+", " "))
     return F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit), F.lit("…"))).otherwise(t)
 
 
+def snippet(s: Column, width: int) -> Column:
+    """Blanks collapsed; a longer text is cut between words so that it and " …" have at most ``width`` characters."""
+    t = F.trim(F.regexp_replace(s, r"(?U)\s+", " "))
+    head = F.regexp_extract(F.concat(F.substring(t, 1, width - 1), F.lit("")), r"^(.*)\s", 1)
+    return F.when(F.length(t) <= width, t).otherwise(F.trim(F.concat(head, F.lit(" …"))))
+
+
+def normalise_label(s: Column) -> Column:
+    """A label with single blanks; a heading gives the counsel's name; hyphens without blanks; compound ranks hyphenated."""
+    t = F.trim(F.regexp_replace(s, r"\s+", " "))
+    heading = r"^(?:CROSS[- ]?|RE[- ]?)?EXAMINATION(?:\s+IN\s+CHIEF)?\s+BY\s+(.*?)(?:\s*\(CONTINUES?\))?$"
+    t = F.when(t.rlike(heading), F.trim(F.regexp_extract(t, heading, 1))).otherwise(t)
+    t = F.regexp_replace(t, r"\s*-\s*", "-")
+    return F.trim(F.regexp_replace(F.regexp_replace(t, r"\bLT GEN\b", "LT-GEN"), r"\bMAJ GEN\b", "MAJ-GEN"))
+
+
+def cue_line(s: Column) -> Column:
+    """A caption line without tags, single blanks."""
+    return F.trim(F.regexp_replace(F.regexp_replace(s, "<[^>]+>", ""), r"\s+", " "))
+
+
+def is_layout(line: Column) -> Column:
+    return F.trim(line).rlike(LAYOUT)
+
+
+def predicate_pronoun(predicate: Column) -> Column:
+    """Whether a verb that reports speech is followed by a pronoun."""
+    return predicate.rlike(r"(?i)\b(?:" + "|".join(REPORTED_VERBS) + r")\b\s+(?:that\s+)?(he|she|they|it|his|her|their)\b")
+
+
+def claim_strength(predicate: Column) -> Column:
+    """2 for a strong word, and up to 1 for the length."""
+    return F.when(predicate.rlike(STRONG), 2.0).otherwise(0.0) + F.least(F.length(predicate), F.lit(140)) / 140
+
+
+def quote_span(text: Column, quote: Column) -> tuple[Column, Column]:
+    """(start, end) of a quote in a text, from 0; if it is not there letter by letter, with its blanks as any white space; else null.
+
+    A single blank of the quote stands for one sign of white space, a line feed or tab for a run of them.
+    """
+    at = F.call_function("locate", quote, text)
+    escaped = F.regexp_replace(quote, r"([\\.\[\]{}()*+?^$|#&~-])", r"\\$1")
+    pattern = F.regexp_replace(F.regexp_replace(escaped, " ", r"\\s"), r"[\n\t\r\x0b\f]+", r"\\s+")
+    found = F.when((at == 0) & quote.rlike(r"\s"), F.regexp_substr(text, pattern))
+    again = F.when(found.isNotNull(), F.call_function("locate", found, text))
+    start = F.when(at > 0, at - 1).otherwise(again - 1)
+    return start, F.when(at > 0, at - 1 + F.length(quote)).otherwise(again - 1 + F.length(found))
+
+
+# Prices in dollars for a million tokens of input and output.
+PRICES = {"large": (5.0, 25.0), "medium": (3.0, 15.0), "small": (1.0, 5.0)}
+
+
+def cost_usd(usage: dict[str, Column], model: str) -> Column:
+    """The cost of a call from its token counts (input, cache_write, cache_read, output); missing counts are 0."""
+    a, b = PRICES[model]
+    n = lambda k: F.coalesce(usage[k], F.lit(0)) if k in usage else F.lit(0)
+    return (n("input") * a + n("cache_write") * a * 1.25 + n("cache_read") * a * 0.1 + n("output") * b) / 1_000_000
+
+
 def tokens_estimate(s: Column) -> Column:
     return F.greatest(F.lit(1), F.bround(F.length(s) / F.lit(3.6)).cast("long"))
 

@@ -66,12 +66,9 @@ def roles(turns: DataFrame) -> DataFrame:
     return r.crossJoin(F.broadcast(total)).select("role", "words", (100.0 * F.col("words") / F.col("total")).alias("share"))  # one row
 
 
-def caption_lines(cues: DataFrame) -> DataFrame:
-    """Lines of each cue that the cue before it does not show; cues left without lines go."""
-    c = cues.distinct().withColumn("lines", F.filter(F.transform(F.coalesce("lines", F.array().cast("array<string>")), lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]+>", ""), r"\s+", " "))), lambda x: x.isNotNull() & (x != "")))
-    prev = F.lag("lines").over(Window.partitionBy("doc_id").orderBy("pos"))
-    c = c.withColumn("_p", F.coalesce(prev, F.array().cast("array<string>")))
-    return c.withColumn("kept", F.filter("lines", lambda x: ~F.array_contains(F.col("_p"), x))).where(F.size("kept") > 0).select("doc_id", "pos", F.array_join("kept", " ").alias("text"))
+def active(registry: DataFrame) -> DataFrame:
+    """Records with a file that no other one supersedes."""
+    return registry.where("downloaded and coalesce(local_path, '') <> '' and coalesce(superseded_by, '') = '' and sha256 is not null")
 
 
 def day_series(chunks: DataFrame) -> DataFrame:

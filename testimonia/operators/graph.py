@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from testimonia.functions import text as T
+from testimonia.sources.shared import written
 
 # Which types resolve together.
 GROUPS = {"acronym": "org"}
@@ -74,14 +75,124 @@ def last_write_wins(existing: DataFrame, new: DataFrame, key: list[str], order:
     return existing.join(last.select(*key), key, "left_anti").unionByName(last)
 
 
+def pair_counts(names: DataFrame, key: str, name: str, block: int = 64) -> DataFrame:
+    """name_a < name_b and n, the number of distinct ``key`` that hold both; pairs of a key are made in blocks of its names.
+
+    A name's block comes from its hash and the number of names of its key, so no key's names are ever in one task.
+    """
+    n = names.select(F.col(key).alias("k"), F.col(name).alias("v")).distinct()
+    size = n.groupBy("k").agg(F.ceil(F.count("*") / block).alias("n_b"))
+    b = n.join(size, "k").withColumn("b", F.pmod(F.xxhash64("v"), "n_b"))
+    g = b.groupBy("k", "b").agg(F.collect_list("v").alias("vs"), F.first("n_b").alias("n_b"))
+    left = g.select("k", F.col("vs").alias("x"), F.col("b").alias("i"), F.explode(F.sequence(F.col("b"), F.col("n_b") - 1)).alias("b"))
+    both = left.join(g.select("k", "b", F.col("vs").alias("y")), ["k", "b"]).select(F.explode("x").alias("p"), "y", (F.col("i") == F.col("b")).alias("same"))
+    pairs = both.select("p", F.explode("y").alias("q"), "same").where((F.col("p") < F.col("q")) | (~F.col("same") & (F.col("p") > F.col("q"))))
+    return pairs.groupBy(F.least("p", "q").alias("name_a"), F.greatest("p", "q").alias("name_b")).agg(F.count("*").alias("n"))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+
+
 def cosine_top(points: DataFrame, query: list[float], k: int) -> DataFrame:
     """The k points most similar to the query; filter ``points`` first."""
     q = F.array(*[F.lit(float(v)) for v in query])
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
-    score = dot(F.col("embedding"), q) / F.sqrt(dot(F.col("embedding"), F.col("embedding")) * dot(q, q))
+    score = _dot(F.col("embedding"), q) / F.sqrt(_dot(F.col("embedding"), F.col("embedding")) * _dot(q, q))
     return points.withColumn("score", score).orderBy(F.desc("score"), "vec_id").limit(k)
 
 
+def cosine_neighbours(points: DataFrame, queries: DataFrame, k: int, block: int = 512) -> DataFrame:
+    """query_id, vec_id, score: for each query (query_id, embedding) its k most similar points (vec_id, embedding), exactly.
+
+    Queries are a stated set; they go in blocks against all points, and each task keeps the k best of its points for each
+    query of the block, so that a query's rows in the exchange are k for each task and not one for each point. Equal
+    scores are put in order by vec_id. A null or zero vector is similar to nothing.
+    """
+    import numpy as np
+    import pandas as pd
+
+    q = queries.where("embedding is not null").select("query_id", "embedding").withColumn("_b", F.floor(F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("query_id"), F.lit(64))).orderBy("query_id")) / block) * 64 + F.pmod(F.xxhash64("query_id"), F.lit(64)))
+    blocks = q.groupBy("_b").agg(F.collect_list(F.struct("query_id", "embedding")).alias("q"))
+    parts = points.where("embedding is not null").select("vec_id", "embedding").withColumn("_p", F.spark_partition_id())
+    parts = parts.groupBy("_p", F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("_s")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("p"))
+
+    def best(batches):  # noqa: ANN001
+        for pdf in batches:
+            for qs, ps in zip(pdf["q"], pdf["p"]):
+                a, b = (np.array([list(x["embedding"]) for x in rows], np.float64) for rows in (qs, ps))
+                na, nb = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
+                scores = (a @ b.T) / np.outer(np.where(na > 0, na, np.nan), np.where(nb > 0, nb, np.nan))
+                ids = np.array([x["vec_id"] for x in ps], np.int64)
+                out = []
+                for i, x in enumerate(qs):
+                    order = np.lexsort((ids, -scores[i]))[:k]
+                    out += [(x["query_id"], int(ids[j]), float(scores[i, j])) for j in order if scores[i, j] == scores[i, j]]
+                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    near = parts.select("p").crossJoin(blocks.select("q")).mapInPandas(best, "query_id long, vec_id long, score double")  # a stated query set against all rows, in blocks
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return near.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+
+
+def hashed_embedding(text: Column, dimension: int = 64) -> Column:
+    """A deterministic unit vector of a text, from the bytes of its SHA-256: a stand-in for a model's vector."""
+    digest = F.sha2(text, 256)
+    raw = F.transform(F.sequence(F.lit(0), F.lit(dimension - 1)), lambda i: (F.conv(F.substring(digest, 2 * (i % 32) + 1, 2), 16, 10).cast("double") - 128) / 128)
+    norm = F.sqrt(_dot(raw, raw))
+    return F.when(text.isNotNull(), F.transform(raw, lambda x: (x / norm).cast("float")))
+
+
+def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
+    """name and community of weighted undirected edges (name_a, name_b, n): each name takes, round by round, the label with the most weight around it.
+
+    Weights are log1p(n); of equal labels the smallest is taken, and a name keeps its own label against an equal one. The
+    rounds are fixed, so is the result; each is one join and one aggregate, and lineage is cut by written tables.
+    """
+    e = edges.select("name_a", "name_b", F.log1p("n").alias("w"))
+    e = e.unionByName(e.select(F.col("name_b").alias("name_a"), F.col("name_a").alias("name_b"), "w"))
+    e = e.unionByName(e.select("name_a", F.col("name_a").alias("name_b"), F.lit(1e-9).alias("w")).distinct())
+    e = written(e, "edges")
+    labels = e.select(F.col("name_a").alias("name")).distinct().withColumn("community", F.col("name"))
+    for _ in range(rounds):
+        votes = e.join(labels.select(F.col("name").alias("name_b"), "community"), "name_b").groupBy("name_a", "community").agg(F.round(F.sum("w"), 9).alias("w"))
+        best = votes.groupBy(F.col("name_a").alias("name")).agg(F.min_by("community", F.struct((-F.col("w")).alias("w"), F.col("community"))).alias("community"))
+        labels = written(best, "labels")
+    return labels
+
+
+def gazetteer(chunks: DataFrame, entities: DataFrame) -> DataFrame:
+    """chunk_id, type_group, surface, entity_id: forms of the alias index that stand in a text, whole words, whatever their case.
+
+    Forms are found by their first word in an inverted index of the texts' words, and confirmed in the text.
+    """
+    k = chunks.select("chunk_id", "text").where("text is not null").dropDuplicates(["chunk_id"]).select("chunk_id", F.concat(F.lit(" "), T.normalise(F.col("text")), F.lit(" ")).alias("t"))
+    forms = alias_index(entities).withColumn("first", F.substring_index("form", " ", 1))
+    words = k.select("chunk_id", F.explode(F.array_distinct(F.split(F.trim("t"), " "))).alias("first"))
+    near = words.join(forms, "first").join(k, "chunk_id")
+    return near.where(F.col("t").contains(F.concat(F.lit(" "), F.col("form"), F.lit(" ")))).select("chunk_id", "type_group", F.col("form").alias("surface"), "entity_id").distinct()
+
+
+def payload(chunks: DataFrame, registry: DataFrame) -> DataFrame:
+    """point_id and the nineteen fields of a point, of each distinct passage with what its source knows of it.
+
+    A sha256 under several urls takes the source of the smallest url; a passage without a source has nulls.
+    """
+    r = registry.where("sha256 is not null").groupBy(F.col("sha256").alias("_sha")).agg(F.min_by(F.struct("source_type", "document_type", "authoritative", "filename", "transcription_method"), F.struct("url", "discovered_at")).alias("r"))
+    c = chunks.dropDuplicates(["chunk_id"]).join(r, F.col("doc_sha256") == F.col("_sha"), "left")
+    return c.select(
+        T.point_id(F.col("chunk_id")).alias("point_id"), "commission_slug", "commission_name", "r.source_type", "r.document_type", "day_no", F.col("hearing_date").alias("date"), "source_url", "r.authoritative", "r.filename",
+        F.col("doc_sha256").alias("sha256"), "page_start", "page_end", "time_start", "time_end", "r.transcription_method", "chunk_id", "speakers", "chunk_index", "text",
+    )
+
+
+def payload_filter(points: DataFrame, commission: str | None = None, day: int | None = None, speaker: str | None = None, sha256: str | None = None) -> DataFrame:
+    """Points that meet all conditions given; ``speaker`` (in capitals) is any element of speakers."""
+    tests = [(commission, F.col("commission_slug") == commission), (day, F.col("day_no") == day), (speaker, F.array_contains("speakers", (speaker or "").upper())), (sha256, F.col("sha256") == sha256)]
+    for given, test in tests:
+        points = points.where(test) if given is not None else points
+    return points
+
+
 def point_parity(points: DataFrame, chunks: DataFrame, registry: DataFrame) -> DataFrame:
     """One row: distinct points, chunks of documents that are not superseded, chunks without a source, and whether the first two are equal and the last is none."""
     r = registry.where("sha256 is not null").groupBy(F.col("sha256").alias("doc_sha256")).agg(F.max(F.coalesce("superseded_by", F.lit(""))).alias("s"))
