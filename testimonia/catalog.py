@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from testimonia.functions import text as T
 from testimonia.operators import corpus as C, graph as G
+from testimonia.operators.evaluation import PROCEDURAL
 from testimonia.sources.tables import table
 
 QUERIES: dict = {}
@@ -45,6 +46,7 @@ n as (select distinct chunk_id, kind, name from (select chunk_id, kind, trim(reg
 _CLAIMNAMES = r"""
 cl as (select distinct claim_id, chunk_id, speaker, text, quote, day_no, attribution, certainty, mentions from claims),
 cn as (select claim_id, chunk_id, trim(regexp_replace(m.name, '\s+', ' ', 'g')) as name, m.role as role from (select claim_id, chunk_id, unnest(mentions) as m from cl) where trim(regexp_replace(m.name, '\s+', ' ', 'g')) <> '')"""
+_PROCEDURAL_SQL = "(" + ", ".join(f"'{x}'" for x in PROCEDURAL) + ")"
 _DAYS = "d as (select distinct chunk_id, commission_slug, day_no, hearing_date, doc_sha256, page_start from chunks)"
 _SPEAKERS = "sp as (select distinct chunk_id, speaker from (select chunk_id, unnest(speakers) as speaker from chunks))"
 
@@ -308,14 +310,6 @@ def _(spark, d):
     return c.select("claim_id", T.claim_key(F.col("chunk_id"), F.upper("speaker"), F.col("text"), F.lit(0), F.length("quote")).alias("key"))
 
 
-@query("f10_quote_spans", "with c as (select distinct claim_id, chunk_id, quote from claims where quote <> ''), k as (select distinct chunk_id, text from chunks where text is not null) select c.claim_id, strpos(k.text, c.quote) - 1 as start, case when strpos(k.text, c.quote) > 0 then strpos(k.text, c.quote) - 1 + length(c.quote) end as stop from c join k on k.chunk_id = c.chunk_id")
-def _(spark, d):
-    c = _t(spark, d, "claims").where("quote <> ''").select("claim_id", "chunk_id", "quote").distinct()
-    k = _t(spark, d, "chunks").where("text is not null").select("chunk_id", "text").distinct()
-    at = F.expr("locate(quote, text)")
-    return c.join(k, "chunk_id").select("claim_id", (at - 1).alias("start"), F.when(at > 0, at - 1 + F.length("quote")).alias("stop"))
-
-
 @query("f6_f8_f9_keys", "select distinct chunk_id, sha256(doc_sha256 || ':' || cast(chunk_index as varchar) || ':' || text) as id, case when day_no is not null and coalesce(hearing_date, '') <> '' then commission_slug || '-day-' || cast(day_no as varchar) || '-' || hearing_date else commission_slug || '-unknown' end as hearing, doc_sha256 || ':' || cast(page_start as varchar) as page from chunks")
 def _(spark, d):
     c = _t(spark, d, "chunks")
@@ -446,35 +440,6 @@ def _(spark, d):
     return k.join(r, "doc_sha256", "left").select("doc_sha256", F.when(F.col("s").isNull(), "no_source").when(F.col("s") != "", "superseded").otherwise("load").alias("action"), "chunks")
 
 
-@query("t14_stratified_sample", f"with {_DAYS}, k as (select distinct chunk_id, commission_slug from d), r as (select *, row_number() over (partition by commission_slug order by sha256('17:' || chunk_id), chunk_id) as rn from k) select chunk_id, commission_slug as stratum from r where rn <= 8")
-def _(spark, d):
-    k = _t(spark, d, "chunks").select("chunk_id", F.col("commission_slug").alias("stratum")).distinct()
-    w = Window.partitionBy("stratum").orderBy(F.sha2(F.concat(F.lit("17:"), "chunk_id"), 256), "chunk_id")
-    return k.withColumn("rn", F.row_number().over(w)).where("rn <= 8").drop("rn")
-
-
-_PRF = f"""with {_NAMES}, {_CLAIMNAMES}, a as (select distinct chunk_id, lower(name) as id from n where kind <> 'place'), b as (select distinct chunk_id, lower(name) as id from cn),
-j as (select a.id is not null as ia, b.id is not null as ib from a full join b on a.chunk_id = b.chunk_id and a.id = b.id), c as (select count(*) filter (where ia and ib) as tp, count(*) filter (where ib and not ia) as fp, count(*) filter (where ia and not ib) as fn from j)
-select tp, fp, fn, tp / (tp + fp)::double as prec, tp / (tp + fn)::double as rec from c"""
-
-
-@query("a15_precision_recall", _PRF)
-def _(spark, d):
-    a = G.chunk_names(_t(spark, d, "mentions"), ("person", "org")).select("chunk_id", F.lower("name").alias("id")).distinct().withColumn("ia", F.lit(True))
-    b = G.claim_names(_t(spark, d, "claims")).select("chunk_id", F.lower("name").alias("id")).distinct().withColumn("ib", F.lit(True))
-    j = a.join(b, ["chunk_id", "id"], "full")
-    c = j.agg(F.count(F.when(F.col("ia") & F.col("ib"), 1)).alias("tp"), F.count(F.when(F.col("ib") & F.col("ia").isNull(), 1)).alias("fp"), F.count(F.when(F.col("ia") & F.col("ib").isNull(), 1)).alias("fn"))
-    return c.select("*", F.try_divide("tp", F.col("tp") + F.col("fp")).alias("prec"), F.try_divide("tp", F.col("tp") + F.col("fn")).alias("rec"))
-
-
-@query("a17_speaker_buckets", f"with {_CLAIMNAMES}, {_SPEAKERS}, k as (select cl.claim_id, case when cl.speaker is null or trim(cl.speaker) = '' then 'indeterminate' when exists (select 1 from sp where sp.chunk_id = cl.chunk_id and upper(sp.speaker) = upper(trim(cl.speaker))) then 'match' else 'differs' end as bucket from cl) select bucket, count(*) as claims from k group by bucket")
-def _(spark, d):
-    c = G.distinct_claims(_t(spark, d, "claims")).select("claim_id", "chunk_id", F.upper(F.trim("speaker")).alias("s"))
-    sp = _t(spark, d, "chunks").select("chunk_id", F.explode("speakers").alias("s")).select("chunk_id", F.upper("s").alias("s")).where("s is not null").distinct().withColumn("hit", F.lit(True))
-    b = F.when(F.coalesce("s", F.lit("")) == "", "indeterminate").when(F.col("hit"), "match").otherwise("differs")
-    return c.join(sp, ["chunk_id", "s"], "left").groupBy(b.alias("bucket")).agg(F.count("*").alias("claims"))
-
-
 # --- vectors ------------------------------------------------------------------------------------------------------
 
 _Q = [round(((i * 37) % 64 - 32) / 32, 4) for i in range(64)]

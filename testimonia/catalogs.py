@@ -1,6 +1,6 @@
 """All queries of the core with their SQL: importing a module registers its queries."""
 
-from testimonia import catalog_parsing  # noqa: F401
+from testimonia import catalog_claims, catalog_parsing  # noqa: F401
 from testimonia.catalog import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

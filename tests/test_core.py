@@ -128,7 +128,7 @@ def test_snippets(spark):
 
 
 def test_quote_spans(spark):
-    rows = [("a (b) c", "(b)", (2, 5)), ("a\nb", "a b", (0, 3)), ("a  b", "a b", None), ("x a \n\t b.", "a\nb", None), ("x a\t\nb.", "a\nb", (2, 6)), ("p.q", "p q", None), ("none", "else", None)]
+    rows = [("a (b) c", "(b)", (2, 5)), ("a\nb", "a b", (0, 3)), ("a  b", "a b", None), ("x a \n\t b.", "a\nb", (2, 8)), ("x a\t\nb.", "a\nb", (2, 6)), ("p.q", "p q", None), ("none", "else", None)]
     start, end = T.quote_span(F.col("t"), F.col("q"))
     got = spark.createDataFrame([r[:2] for r in rows], "t string, q string").select(start, end).collect()
     assert [None if r[0] is None else tuple(r) for r in got] == [w for _, _, w in rows]
