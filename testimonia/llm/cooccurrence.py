@@ -55,15 +55,15 @@ def pair_counts(members: DataFrame, min_count: int = 1, min_lift: float = 0.0) -
     kept = kept.where(F.col("n_item") * F.lit(float(min_lift)) <= F.col("n_records")).select("item", "n_item", "n_records")
     coded = kept.select("item", "n_item", "n_records")
     m = members.join(coded, "item").select("record", "item", "n_item", "n_records")
-    rn = F.row_number().over(Window.partitionBy("record").orderBy("item")) - 1
-    m = m.withColumn("_b", F.floor(rn / BLOCK).cast("int"))
-    blocks = m.groupBy("record", "_b").agg(F.sort_array(F.collect_list(F.struct("item", "n_item"))).alias("items"), F.first("n_records").alias("n_records"))
-    blocks = blocks.withColumn("_n", F.max("_b").over(Window.partitionBy("record")))
-    left = blocks.select("record", F.col("items").alias("l"), F.col("_b").alias("i"), "n_records", F.explode(F.sequence("_b", "_n")).alias("j"))
-    inside = left.where("i = j").withColumn("r", F.col("l"))
-    across = left.where("i <> j").join(blocks.select("record", F.col("_b").alias("j"), F.col("items").alias("r")), ["record", "j"])
-    pairs = inside.select("l", "r", "n_records").unionByName(across.select("l", "r", "n_records"))
-    pairs = pairs.select("n_records", F.explode("l").alias("a"), "r").select("n_records", "a", F.explode(F.expr("filter(r, x -> x.item > a.item)")).alias("b"))
+    # an item's block in its record comes from its hash and the record's size: no record is ever in one task
+    size = m.groupBy("record").agg(F.ceil(F.count("*") / BLOCK).alias("_n"))
+    m = m.join(size, "record").withColumn("_b", F.pmod(F.xxhash64("item"), "_n"))
+    blocks = m.groupBy("record", "_b").agg(F.collect_list(F.struct("item", "n_item")).alias("items"), F.first("_n").alias("_n"), F.first("n_records").alias("n_records"))
+    left = blocks.select("record", F.col("items").alias("l"), F.col("_b").alias("i"), "n_records", F.explode(F.sequence(F.col("_b"), F.col("_n") - 1)).alias("j"))
+    inside = left.where("i = j").select("l", F.col("l").alias("r"), "n_records", F.lit(True).alias("same"))
+    across = left.where("i <> j").join(blocks.select("record", F.col("_b").alias("j"), F.col("items").alias("r")), ["record", "j"]).select("l", "r", "n_records", F.lit(False).alias("same"))
+    pairs = inside.unionByName(across).select("n_records", "same", F.explode("l").alias("x"), "r").select("n_records", "x", F.explode(F.expr("filter(r, y -> y.item > x.item or (not same and y.item < x.item))")).alias("y"))
+    pairs = pairs.select("n_records", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     out = pairs.groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b")).agg(F.first("a.n_item").alias("n_a"), F.first("b.n_item").alias("n_b"), F.count("*").alias("n_ab"), F.first("n_records").alias("n_records"))
     return out.where((F.col("n_ab") >= min_count) & (F.col("n_ab") * F.col("n_records") >= F.lit(float(min_lift)) * F.col("n_a") * F.col("n_b")))
 
@@ -159,7 +159,10 @@ def surprising_pairs(members: DataFrame, min_count: int = 1, min_lift: float = 0
 
 
 def p5_found(spark: SparkSession, directory: str) -> DataFrame:
-    return pair_counts(memberships(spark, directory), MIN_COUNT, MIN_LIFT).select(F.col("item_a").alias("name_a"), F.col("item_b").alias("name_b"))
+    """All pairs that occur are counted and scored under the null; of these the exact limits take theirs."""
+    scored = surprising_pairs(memberships(spark, directory))
+    often = (F.col("n_ab") >= MIN_COUNT) & (F.col("n_ab") * F.col("n_records") >= MIN_LIFT * F.col("n_a") * F.col("n_b"))
+    return scored.where(often).select(F.col("item_a").alias("name_a"), F.col("item_b").alias("name_b"))
 
 
 def p5_surprise(spark: SparkSession, directory: str) -> DataFrame:
