@@ -114,6 +114,24 @@ def point_id(name: Column) -> Column:
     return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
+def day_list(s: Column) -> Column:
+    """Whole numbers of a list separated by commas; blanks between commas are passed over."""
+    return F.transform(F.filter(F.split(s, ","), lambda x: F.trim(x) != ""), lambda x: F.trim(x).cast("int"))
+
+
+def strict_fault(json: Column, fields: list[str]) -> Column:
+    """ok, or what is wrong with an answer that must be a JSON object with these fields and no others."""
+    keys = F.json_object_keys(json)
+    known = F.array(*[F.lit(f) for f in fields])
+    return F.when(keys.isNull(), "no JSON").when(F.size(F.array_except(keys, known)) > 0, "unknown field").when(F.size(F.array_except(known, keys)) > 0, "missing field").otherwise("ok")
+
+
+def prompt_head(day: Column, date: Column, first: Column, last: Column, speakers: Column) -> Column:
+    """What a passage's provenance says above its text; what is not known is None."""
+    s = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
+    return F.concat(F.lit("Hearing day "), s(day), F.lit(" ("), s(date), F.lit("), pages "), s(first), F.lit("-"), s(last), F.lit(". Speakers: "), F.coalesce(F.array_join(speakers, ", "), F.lit("")), F.lit("."))
+
+
 def clipped(s: Column, limit: int) -> Column:
     """Blanks collapsed; a longer text is cut hard and marked. Null is empty."""
     t = F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), r"(?U)\s+", " "))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from testimonia.functions import text as T
+from testimonia.operators import ordered as O
+from testimonia.sources.shared import written
 
 
 def latest_per_url(registry: DataFrame) -> DataFrame:
@@ -13,12 +15,17 @@ def latest_per_url(registry: DataFrame) -> DataFrame:
     return registry.withColumn("_rn", F.row_number().over(Window.partitionBy("url").orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
-def upserted(registry: DataFrame) -> DataFrame:
-    """One row per url, field by field: the last title that is not empty, the last day that is not null, file data of the last download."""
-    last = lambda c, ok: F.max(F.when(ok, F.struct("discovered_at", F.col(c).alias("v"))))["v"].alias(c)
-    full = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    got = F.col("downloaded") & F.col("sha256").isNotNull()
-    return registry.groupBy("url").agg(last("title", full("title")), last("hearing_date", full("hearing_date")), last("day_no", F.col("day_no").isNotNull()), last("sha256", got), last("size_bytes", got), F.max(F.coalesce("downloaded", F.lit(False)).cast("int")).alias("downloaded"))
+def registry_filter(registry: DataFrame, **equal: str | None) -> DataFrame:
+    """The records whose columns have the values given; a None asks nothing."""
+    for name, value in equal.items():
+        registry = registry.where(F.col(name) == value) if value is not None else registry
+    return registry
+
+
+def download_states(registry: DataFrame) -> DataFrame:
+    """Adds state: video (not downloaded), downloaded, missing (at the source, for good) or pending."""
+    missing = F.coalesce("notes", F.lit("")).startswith("Missing at source:")
+    return registry.withColumn("state", F.when(F.col("source_type") == "video", "video").when(F.col("downloaded"), "downloaded").when(missing, "missing").otherwise("pending"))
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
@@ -89,21 +96,44 @@ def candidate_documents(registry: DataFrame) -> DataFrame:
     return pairs[0].union(pairs[1]).union(pairs[2]).where("doc_a <> doc_b").distinct()
 
 
-def shingles(pages: DataFrame, n: int = 10) -> DataFrame:
-    """Distinct word sequences of each document's running text, across its pages; a shorter document is one sequence."""
-    p = reflowed(pages).select("doc_id", "page_no", "text", F.split(F.lower("text"), " ").alias("w"))
-    w = p.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_no", "text", "w"))).alias("p")).select("doc_id", F.flatten("p.w").alias("w"))
-    hs = F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array(F.array_join("w", " ")))
-    return w.select("doc_id", F.explode(hs).alias("s")).distinct()
+SHINGLE_WORDS, BUCKETS = 10, 16
+
+
+def shingle_sets(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
+    """doc_id, bucket, hs: hashes of the distinct sequences of n words of each document's text, layout lines left out, cut into buckets.
+
+    Sequences go on over page ends: a page takes the first words of the pages that follow it along, no more. A document of
+    fewer words is one sequence. ``docs``: doc_id of the documents asked for.
+    """
+    lines = F.filter(F.transform(F.split("text", "\n", -1), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))), lambda x: (x != "") & ~T.is_layout(x))
+    words = F.split(F.array_join(lines, " "), " ")
+    p = pages.join(docs.distinct(), "doc_id", "left_semi").select("doc_id", "page_no", words.alias("w")).where("w[0] <> ''")
+    p = p.groupBy("doc_id", "page_no", F.xxhash64("w").alias("_h")).agg(F.first("w").alias("w"))
+    p = O.following(p, ["doc_id"], "page_no", F.slice("w", 1, n - 1), "_after", n - 1)
+    p = p.withColumn("_all", F.concat("w", F.slice(F.flatten("_after"), 1, n - 1)))
+    last = F.least(F.size("w"), F.size("_all") - n + 1)
+    hs = F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice("_all", i, n), " "))))
+    long = p.select("doc_id", F.explode(F.array_distinct(hs)).alias("h"))
+    # a short document has no sequence of n words on any of its pages
+    short = p.groupBy("doc_id").agg(F.sum(F.size("w")).alias("k"), F.slice(F.sort_array(F.collect_list(F.struct("page_no", F.slice("w", 1, n).alias("w")))), 1, n).alias("ws")).where(f"k < {n}")
+    short = short.select("doc_id", F.xxhash64(F.array_join(F.flatten(F.transform("ws", lambda x: x["w"])), " ")).alias("h"))
+    return long.unionByName(short).groupBy("doc_id", F.pmod("h", F.lit(BUCKETS)).alias("bucket")).agg(F.collect_set("h").alias("hs"))
 
 
 def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> DataFrame:
-    """Candidate pairs with the share of each document's sequences that the other has, and whether one repeats the other."""
-    pairs, s = candidate_documents(registry), shingles(pages)
-    sizes = s.groupBy("doc_id").agg(F.count("*").alias("n"))
-    a, b = s.select(F.col("doc_id").alias("doc_a"), "s"), s.select(F.col("doc_id").alias("doc_b"), "s")
-    both = pairs.join(a, "doc_a").join(b, ["doc_b", "s"]).groupBy("doc_a", "doc_b").agg(F.count("*").alias("k"))
+    """Candidate pairs of documents with pages: the share of each one's sequences that the other has, and whether one repeats the other.
+
+    Sets are made once, and only of documents in a pair; pairs meet them bucket by bucket. A document without words has a share of 0.
+    """
+    have = pages.select("doc_id").distinct()
+    a, b = have.select(F.col("doc_id").alias("doc_a")), have.select(F.col("doc_id").alias("doc_b"))
+    pairs = written(candidate_documents(registry).join(a, "doc_a").join(b, "doc_b"), "pairs")
+    sets = written(shingle_sets(pages, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id"))), "sets")
+    sizes = sets.groupBy("doc_id").agg(F.sum(F.size("hs")).alias("n"))
+    x, y = sets.select(F.col("doc_id").alias("doc_a"), "bucket", F.col("hs").alias("ha")), sets.select(F.col("doc_id").alias("doc_b"), "bucket", F.col("hs").alias("hb"))
+    both = pairs.join(x, "doc_a").join(y, ["doc_b", "bucket"]).groupBy("doc_a", "doc_b").agg(F.sum(F.size(F.array_intersect("ha", "hb"))).alias("k"))
     na, nb = sizes.select(F.col("doc_id").alias("doc_a"), F.col("n").alias("na")), sizes.select(F.col("doc_id").alias("doc_b"), F.col("n").alias("nb"))
-    out = pairs.join(na, "doc_a").join(nb, "doc_b").join(both, ["doc_a", "doc_b"], "left").withColumn("k", F.coalesce("k", F.lit(0)))
-    out = out.select("doc_a", "doc_b", (F.col("k") / F.col("na")).alias("a_in_b"), (F.col("k") / F.col("nb")).alias("b_in_a"))
+    out = pairs.join(na, "doc_a", "left").join(nb, "doc_b", "left").join(both, ["doc_a", "doc_b"], "left")
+    share = lambda n: F.coalesce(F.try_divide(F.col("k").cast("double"), F.col(n)), F.lit(0.0))
+    out = out.select("doc_a", "doc_b", share("na").alias("a_in_b"), share("nb").alias("b_in_a"))
     return out.withColumn("is_duplicate", F.greatest("a_in_b", "b_in_a") >= least)

@@ -135,11 +135,14 @@ def cosine_neighbours(points: DataFrame, queries: DataFrame, k: int, block: int
 
 
 def hashed_embedding(text: Column, dimension: int = 64) -> Column:
-    """A deterministic unit vector of a text, from the bytes of its SHA-256: a stand-in for a model's vector."""
-    digest = F.sha2(text, 256)
-    raw = F.transform(F.sequence(F.lit(0), F.lit(dimension - 1)), lambda i: (F.conv(F.substring(digest, 2 * (i % 32) + 1, 2), 16, 10).cast("double") - 128) / 128)
-    norm = F.sqrt(_dot(raw, raw))
-    return F.when(text.isNotNull(), F.transform(raw, lambda x: (x / norm).cast("float")))
+    """A deterministic unit vector of the text from the bytes of its SHA-256: a stand-in for a model's vector. Null for a null text."""
+    once = lambda c, f: F.transform(F.array(c), f)[0]
+    # a value bound by a lambda is made once; written out, the digest and the norm would be made again for each component
+    byte = lambda g: lambda i: (F.conv(F.substring(g, 2 * i + 1, 2), 16, 10).cast("double") - 128) / 128
+    raw = once(F.sha2(text, 256), lambda g: F.transform(F.sequence(F.lit(0), F.lit(31)), byte(g)))
+    raw = F.slice(F.flatten(F.array_repeat(raw, -(-dimension // 32))), 1, dimension)
+    both = once(raw, lambda v: F.struct(v.alias("v"), F.sqrt(_dot(v, v)).alias("n")))
+    return F.when(text.isNotNull(), once(both, lambda b: F.transform(b["v"], lambda x: (x / b["n"]).cast("float"))))
 
 
 def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
@@ -201,3 +204,109 @@ def point_parity(points: DataFrame, chunks: DataFrame, registry: DataFrame) -> D
     k = k.agg(active.alias("active_chunks"), F.countDistinct(F.when(F.col("s").isNull(), F.col("chunk_id"))).alias("no_source"))
     both = points.agg(F.countDistinct("point_id").alias("points")).crossJoin(k)  # one row each
     return both.select("points", "active_chunks", "no_source", ((F.col("points") == F.col("active_chunks")) & (F.col("no_source") == 0)).alias("ok"))
+
+
+# Words of a body's name that tell nothing apart.
+ORG_STOP = {"THE", "OF", "AND", "SERVICES", "SERVICE", "COMMISSION", "DEPARTMENT", "COMPANY", "LIMITED", "PTY", "PROTECTION", "UNIT"}
+
+
+def neighbourhoods(chunks: DataFrame, mentions: DataFrame, claims: DataFrame, registry: DataFrame) -> DataFrame:
+    """Each passage with its day and page, url and document_type of its source, and persons, orgs, places, speakers and claims (claim_id, speaker) as lists.
+
+    Every list is gathered before it is joined, so that none multiplies another. A sha256 under several urls takes the
+    smallest. Mentions and claims stay apart. What is not there is an empty list or null.
+    """
+    c = chunks.dropDuplicates(["chunk_id"]).select("chunk_id", "doc_sha256", "day_no", "hearing_date", "page_start", F.array_distinct(F.filter(F.coalesce("speakers", F.array().cast("array<string>")), lambda x: x.isNotNull())).alias("speakers"))
+    r = registry.where("sha256 is not null").groupBy(F.col("sha256").alias("doc_sha256")).agg(F.min_by(F.struct("url", "document_type"), F.struct("url", "discovered_at")).alias("r"))
+    n = chunk_names(mentions)
+    of = lambda k, a: F.collect_set(F.when(F.col("kind") == k, F.col("name"))).alias(a)
+    n = n.groupBy("chunk_id").agg(of("person", "persons"), of("org", "orgs"), of("place", "places"))
+    k = claims.groupBy("chunk_id").agg(F.collect_set(F.struct("claim_id", "speaker")).alias("claims"))
+    return c.join(r, "doc_sha256", "left").join(n, "chunk_id", "left").join(k, "chunk_id", "left").select("chunk_id", "day_no", "hearing_date", "page_start", "r.url", "r.document_type", "persons", "orgs", "places", "speakers", "claims")
+
+
+def claim_details(claims: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Each distinct claim with what is said (the quote, else the text), day, page and commission of its passage, and mentions (name, role) as a list."""
+    c = claims.select("claim_id", "status", "speaker", "speaker_unresolved", "certainty", "attribution", F.coalesce("quote", "text").alias("said"), "chunk_id", "source_url").distinct()
+    m = claim_names(claims).groupBy("claim_id").agg(F.collect_set(F.struct("name", "role")).alias("mentions"))
+    k = chunks.dropDuplicates(["chunk_id"]).select("chunk_id", "day_no", "page_start", "commission_slug")
+    return c.join(k, "chunk_id", "left").join(m, "claim_id", "left")
+
+
+def people_with(names: DataFrame, body: str) -> DataFrame:
+    """Persons named with bodies whose name holds ``body``: one row a person, a passage counting once for each such body."""
+    o = names.where("kind = 'org'").where(F.lower("name").contains(body.lower())).groupBy("chunk_id").agg(F.count("*").alias("_n"))
+    return names.where("kind = 'person'").join(o, "chunk_id").groupBy("name").agg(F.sum("_n").alias("co_mentions"))
+
+
+def speaker_labels(chunks: DataFrame, entities: DataFrame) -> DataFrame:
+    """name (of the entity, else the label), label and the number of passages."""
+    s = chunks.select("chunk_id", F.explode("speakers").alias("label")).where("label is not null").groupBy("label").agg(F.countDistinct("chunk_id").alias("chunks"))
+    ids = resolved(s.select(F.lit("person").alias("type_group"), F.col("label").alias("surface")), entities).select(F.col("surface").alias("label"), "entity_id")
+    e = entities.select("entity_id", "name").distinct()
+    return s.join(ids, "label", "left").join(e, "entity_id", "left").groupBy(F.coalesce("name", "label").alias("name"), "label").agg(F.sum("chunks").alias("chunks"))
+
+
+def ego_pairs(members: DataFrame, least_shared: int, top: int, least_chunks: int) -> DataFrame:
+    """Pairs among the neighbours of the most frequent name of ``members`` (chunk_id, name): name_a, name_b, n.
+
+    Neighbours share ``least_shared`` passages with it; the first ``top`` by these are taken, and then those in ``least_chunks`` passages.
+    """
+    counts = members.groupBy("name").agg(F.count("*").alias("k"))
+    centre = counts.orderBy(F.desc("k"), "name").limit(1).select("name")
+    inside = members.join(F.broadcast(centre), "name", "left_semi").select("chunk_id")  # one row
+    near = members.join(inside, "chunk_id", "left_semi").join(F.broadcast(centre), "name", "left_anti").groupBy("name").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared)
+    kept = near.orderBy(F.desc("shared"), "name").limit(top).join(counts.where(F.col("k") >= least_chunks), "name").select("name")
+    return pair_counts(members.join(F.broadcast(kept), "name", "left_semi"), "chunk_id", "name")  # ``top`` names at most
+
+
+def daily_hits(chunks: DataFrame, word: str) -> DataFrame:
+    """Per commission and day the passages, and those whose text holds ``word``, whatever its case; days without a hit have 0."""
+    c = chunks.where("day_no is not null").select("commission_slug", "day_no", "chunk_id", F.lower("text").contains(word.lower()).alias("h"))
+    return c.groupBy("commission_slug", "day_no").agg(F.countDistinct("chunk_id").alias("total"), F.countDistinct(F.when(F.col("h"), F.col("chunk_id"))).alias("hits"))
+
+
+def stance_labels(claims: DataFrame, entities: DataFrame, contested: int = 5) -> DataFrame:
+    """name, asserts, denials, questions and label: ownership for bodies, contested from so many denials, questioned where questions prevail, else asserted."""
+    s = claims.select("claim_id", T.modality(F.col("text")).alias("stance")).distinct()
+    m = claim_names(claims).select("claim_id", "name").distinct().join(s, "claim_id").distinct()
+    n = m.groupBy("name").agg(*[F.count(F.when(F.col("stance") == k, 1)).alias(a) for k, a in (("assert", "asserts"), ("deny", "denials"), ("question", "questions"))])
+    orgs = entities.where("entity_type = 'org'").select(T.normalise(F.col("name")).alias("_f")).distinct().withColumn("_o", F.lit(True))
+    label = F.when(F.col("_o"), "ownership").when(F.col("denials") >= contested, "contested").when(F.col("questions") > F.col("asserts"), "questioned").otherwise("asserted")
+    return n.join(orgs, T.normalise(F.col("name")) == F.col("_f"), "left").select("name", "asserts", "denials", "questions", label.alias("label"))
+
+
+def unresolved_surfaces(surfaces: DataFrame, entities: DataFrame, chunks: DataFrame, least: int = 2) -> DataFrame:
+    """type_group, form, n and days of what is written ``least`` times or more and means no entity."""
+    s = surfaces.where("surface is not null").select("surface_id", "chunk_id", F.lower("entity_type").alias("type_group"), "surface").distinct()
+    u = resolved(s, entities).where("entity_id is null and form <> ''").join(chunk_days(chunks).select("chunk_id", "day_no"), "chunk_id", "left")
+    return u.groupBy("type_group", "form").agg(F.countDistinct("surface_id").alias("n"), F.countDistinct("day_no").alias("days")).where(F.col("n") >= least)
+
+
+def alias_proposals(surfaces: DataFrame, entities: DataFrame, chunks: DataFrame, least: int = 2) -> DataFrame:
+    """type_group, form, n, anchor, proposal, bare_only: where an unresolved writing could belong.
+
+    A person's writing goes by its last word: to the entity that alone owns the word, to AMBIGUOUS: and the word where
+    several do, to NEW: and the word where none does. A body's goes by its first word that tells something.
+    """
+    u = unresolved_surfaces(surfaces, entities, chunks, least)
+    bare = alias_forms(entities).withColumn("form", T.strip_titles(F.col("form"))).where("form <> ''")
+    owners = bare.where("type_group = 'person'").select(F.explode(F.split("form", " ")).alias("anchor"), "entity_id").groupBy("anchor").agg(F.countDistinct("entity_id").alias("owners"), F.min("entity_id").alias("one"))
+    p = u.where("type_group = 'person'").withColumn("bare", T.strip_titles(F.col("form"))).where("bare <> ''").withColumn("anchor", F.substring_index("bare", " ", -1)).join(owners, "anchor", "left")
+    to = F.when(F.col("owners") == 1, F.col("one")).when(F.col("owners") > 1, F.concat(F.lit("AMBIGUOUS:"), "anchor")).otherwise(F.concat(F.lit("NEW:"), "anchor"))
+    people = p.select("type_group", "form", "n", "anchor", to.alias("proposal"), (~F.col("bare").contains(" ")).alias("bare_only"))
+    words = F.filter(F.split("form", " "), lambda x: (F.length(x) > 2) & ~x.isin(*sorted(ORG_STOP)))
+    o = u.where("type_group = 'org'").withColumn("anchor", F.coalesce(F.get(words, F.lit(0)), F.col("form")))
+    return people.unionByName(o.select("type_group", "form", "n", "anchor", F.concat(F.lit("NEW:"), "anchor").alias("proposal"), F.lit(False).alias("bare_only")))
+
+
+def loosely_resolved(rows: DataFrame, entities: DataFrame) -> DataFrame:
+    """Adds form and entity_id to rows with surface: by letters and figures alone, whatever the type; of several owners the one with the greatest id."""
+    forms = entities.select("entity_id", F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("f")).select(T.loose(F.col("f")).alias("form"), "entity_id").where("form <> ''").groupBy("form").agg(F.max("entity_id").alias("entity_id"))
+    return rows.withColumn("form", T.loose(F.col("surface"))).join(forms, "form", "left")
+
+
+def role_of_note(entity_type: Column, note: Column) -> Column:
+    """bench, counsel or witness by words of a reviewed note; a body is an org."""
+    n = F.lower(F.coalesce(note, F.lit("")))
+    return F.when(entity_type == "org", "org").when(n.contains("chairperson") | n.contains("bench") | n.contains("presides"), "bench").when(n.contains("evidence leader") | n.contains("counsel"), "counsel").otherwise("witness")

@@ -48,6 +48,7 @@ cl as (select distinct claim_id, chunk_id, speaker, text, quote, day_no, attribu
 cn as (select claim_id, chunk_id, trim(regexp_replace(m.name, '\s+', ' ', 'g')) as name, m.role as role from (select claim_id, chunk_id, unnest(mentions) as m from cl) where trim(regexp_replace(m.name, '\s+', ' ', 'g')) <> '')"""
 _PROCEDURAL_SQL = "(" + ", ".join(f"'{x}'" for x in PROCEDURAL) + ")"
 _DAYS = "d as (select distinct chunk_id, commission_slug, day_no, hearing_date, doc_sha256, page_start from chunks)"
+_LATEST_SHA = "rl as (select sha256, unnest(r) from (select sha256, arg_min({'url': url, 'source_type': source_type, 'document_type': document_type, 'authoritative': authoritative, 'filename': filename, 'transcription_method': transcription_method}, {'u': url, 'd': discovered_at}) as r from registry where sha256 is not null group by sha256))"
 _SPEAKERS = "sp as (select distinct chunk_id, speaker from (select chunk_id, unnest(speakers) as speaker from chunks))"
 
 
@@ -64,14 +65,6 @@ def _(spark, d):
     return C.latest_per_url(_t(spark, d, "registry")).select("url", "discovered_at", "downloaded", "sha256")
 
 
-@query("r3_registry_upsert", """select url,
- (max({'a': discovered_at, 'v': title}) filter (where coalesce(title, '') <> '')).v as title, (max({'a': discovered_at, 'v': hearing_date}) filter (where coalesce(hearing_date, '') <> '')).v as hearing_date,
- (max({'a': discovered_at, 'v': day_no}) filter (where day_no is not null)).v as day_no, (max({'a': discovered_at, 'v': sha256}) filter (where downloaded and sha256 is not null)).v as sha256,
- (max({'a': discovered_at, 'v': size_bytes}) filter (where downloaded and sha256 is not null)).v as size_bytes, max(cast(coalesce(downloaded, false) as int)) as downloaded from registry group by url""")
-def _(spark, d):
-    return C.upserted(_t(spark, d, "registry"))
-
-
 @query("f1_registry_filter_counts", "select commission_slug, source_type, document_type, count(distinct url) as urls, count(distinct sha256) as files from registry group by all")
 def _(spark, d):
     return _t(spark, d, "registry").groupBy("commission_slug", "source_type", "document_type").agg(F.countDistinct("url").alias("urls"), F.countDistinct("sha256").alias("files"))
@@ -117,11 +110,6 @@ def _(spark, d):
     return C.candidate_documents(_t(spark, d, "registry"))
 
 
-@query("j6_containment")
-def _(spark, d):
-    return C.containment(*_t(spark, d, "registry", "pages"))
-
-
 # --- turns --------------------------------------------------------------------------------------------------------
 
 
@@ -197,18 +185,6 @@ def _(spark, d):
     return g.select("d", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("segment"))
 
 
-@query("a9_outlier_days", f"with {_DAYS}, s as (select commission_slug, day_no, count(distinct chunk_id) as chunks, count(distinct doc_sha256) as docs from d where day_no is not null group by all), m as (select median(chunks) as m from s) select commission_slug, day_no, chunks, docs, docs > 1 as several, chunks > 1.5 * m.m as outlier from s cross join m")
-def _(spark, d):
-    s = G.chunk_days(_t(spark, d, "chunks")).where("day_no is not null").groupBy("commission_slug", "day_no").agg(F.countDistinct("chunk_id").alias("chunks"), F.countDistinct("doc_sha256").alias("docs"))
-    m = s.agg(F.median("chunks").alias("m"))
-    return s.crossJoin(F.broadcast(m)).select("commission_slug", "day_no", "chunks", "docs", (F.col("docs") > 1).alias("several"), (F.col("chunks") > 1.5 * F.col("m")).alias("outlier"))  # one row
-
-
-@query("l2_marathon_days", f"with {_DAYS} select commission_slug, day_no, count(distinct chunk_id) as chunks from d where day_no is not null group by all order by chunks desc, commission_slug, day_no limit 10")
-def _(spark, d):
-    return G.chunk_days(_t(spark, d, "chunks")).where("day_no is not null").groupBy("commission_slug", "day_no").agg(F.countDistinct("chunk_id").alias("chunks")).orderBy(F.desc("chunks"), "commission_slug", "day_no").limit(10)
-
-
 # --- entities -----------------------------------------------------------------------------------------------------
 
 
@@ -225,13 +201,6 @@ def _(spark, d):
     return G.resolved(s, _t(spark, d, "entities")).select("surface_id", "form", "entity_id")
 
 
-@query("a26_unresolved_surfaces", f"""with {_FORMS}, {_INDEX}, s as (select distinct surface_id, lower(entity_type) as type_group, {_NORM.format("surface")} as form from surfaces where surface is not null)
-select s.type_group, s.form, count(*) as n from s left join a on a.type_group = s.type_group and a.form = s.form left join b on b.type_group = s.type_group and b.form = {_STRIP.format("s.form")} where a.entity_id is null and b.entity_id is null and s.form <> '' group by all having count(*) >= 2""")
-def _(spark, d):
-    s = _t(spark, d, "surfaces").where("surface is not null").select("surface_id", F.lower("entity_type").alias("type_group"), "surface").distinct()
-    return G.resolved(s, _t(spark, d, "entities")).where("entity_id is null and form <> ''").groupBy("type_group", "form").agg(F.count("*").alias("n")).where("n >= 2")
-
-
 @query("t13_shared_surnames", f"with {_FORMS}, k as (select distinct entity_id, list_last(string_split({_STRIP.format(_NORM.format('name'))}, ' ')) as surname from entities where entity_type = 'person') select surname, count(*) as owners from k group by surname having count(*) > 1")
 def _(spark, d):
     k = _t(spark, d, "entities").where("entity_type = 'person'").withColumn("f", T.normalise(F.col("name"))).withColumn("f", T.strip_titles(F.col("f")))
@@ -247,20 +216,6 @@ def _(spark, d):
     return n.groupBy("kind", "name").agg(F.countDistinct("chunk_id").alias("chunks"), F.countDistinct(F.when(F.col("day_no").isNotNull(), F.struct("commission_slug", "day_no"))).alias("days"))
 
 
-@query("j11_comentions", f"with {_NAMES}, m as (select distinct chunk_id, name from n where kind = 'person') select a.name as name_a, b.name as name_b, count(*) as chunks from m a join m b on a.chunk_id = b.chunk_id and a.name < b.name group by all having count(*) >= 2")
-def _(spark, d):
-    m = G.chunk_names(_t(spark, d, "mentions"), ("person",)).select("chunk_id", "name").distinct()
-    p = m.select("chunk_id", F.col("name").alias("name_a")).join(m.select("chunk_id", F.col("name").alias("name_b")), "chunk_id").where("name_a < name_b")
-    return p.groupBy("name_a", "name_b").agg(F.count("*").alias("chunks")).where("chunks >= 2")
-
-
-@query("g7_top_pairs", f"with {_NAMES}, m as (select distinct chunk_id, name from n) select a.name as name_a, b.name as name_b, count(*) as chunks from m a join m b on a.chunk_id = b.chunk_id and a.name < b.name group by all order by chunks desc, name_a, name_b limit 20")
-def _(spark, d):
-    m = G.chunk_names(_t(spark, d, "mentions")).select("chunk_id", "name").distinct()
-    p = m.select("chunk_id", F.col("name").alias("name_a")).join(m.select("chunk_id", F.col("name").alias("name_b")), "chunk_id").where("name_a < name_b")
-    return p.groupBy("name_a", "name_b").agg(F.count("*").alias("chunks")).orderBy(F.desc("chunks"), "name_a", "name_b").limit(20)
-
-
 @query("a23_lift", f"""with {_NAMES}, m as (select distinct chunk_id, name from n where kind <> 'place'), c as (select name, count(*) as k from m group by name), t as (select count(distinct chunk_id) as k from m),
 x as (select name from c order by k desc, name limit 1), e as (select m.name, count(*) as shared from m where chunk_id in (select chunk_id from m where name = (select name from x)) and name <> (select name from x) group by m.name)
 select e.name, e.shared, e.shared * t.k / (c.k * (select k from c where name = (select name from x)))::double as lift from e join c on c.name = e.name cross join t where e.shared >= 2 order by lift desc, e.name limit 18""")
@@ -275,12 +230,6 @@ def _(spark, d):
     return out.select("name", "shared", (F.col("shared") * F.col("t") / (F.col("k") * F.col("kx"))).alias("lift")).orderBy(F.desc("lift"), "name").limit(18)
 
 
-@query("a24_surge_by_day", f"with {_DAYS}, h as (select distinct chunk_id from chunks where lower(text) like '%payment%') select d.commission_slug, d.day_no, count(distinct d.chunk_id) as total, count(distinct h.chunk_id) as hits from d left join h on h.chunk_id = d.chunk_id where d.day_no is not null group by all")
-def _(spark, d):
-    c = _t(spark, d, "chunks").where("day_no is not null").select("commission_slug", "day_no", "chunk_id", F.lower("text").contains("payment").alias("h"))
-    return c.groupBy("commission_slug", "day_no").agg(F.countDistinct("chunk_id").alias("total"), F.countDistinct(F.when(F.col("h"), F.col("chunk_id"))).alias("hits"))
-
-
 _MODALITY = "case " + " ".join(f"when {' or '.join(f'contains(lower(coalesce(text, {chr(39)*2})), {chr(39)}{k}{chr(39)})' for k in keys)} then '{name}'" for name, keys in T.STANCES.items()) + " else 'other' end"
 
 
@@ -291,11 +240,6 @@ def _(spark, d):
     return m.groupBy("name").agg(*[F.count(F.when(F.col("stance") == s, 1)).alias(n) for s, n in (("assert", "asserts"), ("deny", "denials"), ("question", "questions"), ("other", "others"))])
 
 
-@query("a27_claims_by_speaker", f"with {_CLAIMNAMES} select {_NORM.format('speaker')} as speaker, count(distinct claim_id) as claims from cl where speaker is not null and trim(speaker) <> '' group by 1")
-def _(spark, d):
-    return _t(spark, d, "claims").where("speaker is not null and trim(speaker) <> ''").groupBy(T.normalise(F.col("speaker")).alias("speaker")).agg(F.countDistinct("claim_id").alias("claims"))
-
-
 _VERBS = "[" + ", ".join(f"'{v}'" for v in T.REPORTED_VERBS) + "]"
 
 
@@ -316,13 +260,6 @@ def _(spark, d):
     return c.select("chunk_id", F.sha2(F.concat("doc_sha256", F.lit(":"), F.col("chunk_index").cast("string"), F.lit(":"), "text"), 256).alias("id"), T.hearing_key(F.col("commission_slug"), F.col("day_no"), F.col("hearing_date")).alias("hearing"), F.concat("doc_sha256", F.lit(":"), F.col("page_start").cast("string")).alias("page")).distinct()
 
 
-@query("v4_payload")
-def _(spark, d):
-    c = _t(spark, d, "chunks").distinct()
-    r = _t(spark, d, "registry").where("sha256 is not null").groupBy(F.col("sha256").alias("doc_sha256")).agg(F.min("document_type").alias("document_type"), F.max(F.coalesce("authoritative", F.lit(False)).cast("int")).alias("authoritative"))
-    return c.join(r, "doc_sha256", "left").select(T.point_id(F.col("chunk_id")).alias("point_id"), "chunk_id", "doc_sha256", "commission_slug", "day_no", "page_start", "page_end", "speakers", "document_type", "authoritative", F.lit("…").alias("mark"), T.snippet(F.col("text"), 320).alias("snippet"))
-
-
 @query("a21_cost_estimate", "select cast(sum(greatest(1, round_even(length(text) / 3.6, 0)) + 40) as bigint) as input_tokens, count(*) as chunks from (select distinct chunk_id, text from chunks where text is not null)")
 def _(spark, d):
     c = _t(spark, d, "chunks").where("text is not null").select("chunk_id", "text").distinct()
@@ -332,46 +269,11 @@ def _(spark, d):
 # --- graph queries ------------------------------------------------------------------------------------------------
 
 
-@query("g1_neighbourhood", f"""with {_NAMES}, {_DAYS}, {_CLAIMNAMES}, p as (select chunk_id, count(*) filter (where kind = 'person') as persons, count(*) filter (where kind = 'org') as orgs, count(*) filter (where kind = 'place') as places, min(name) as first_name from n group by chunk_id), c as (select chunk_id, count(distinct claim_id) as claims from cl group by chunk_id)
-select d.chunk_id, d.day_no, coalesce(p.persons, 0) as persons, coalesce(p.orgs, 0) as orgs, coalesce(p.places, 0) as places, p.first_name, coalesce(c.claims, 0) as claims from d left join p on p.chunk_id = d.chunk_id left join c on c.chunk_id = d.chunk_id""")
-def _(spark, d):
-    n = G.chunk_names(_t(spark, d, "mentions")).groupBy("chunk_id").agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(a) for k, a in (("person", "persons"), ("org", "orgs"), ("place", "places"))], F.min("name").alias("first_name"))
-    c = _t(spark, d, "claims").groupBy("chunk_id").agg(F.countDistinct("claim_id").alias("claims"))
-    nil = F.lit(0).cast("long")
-    out = G.chunk_days(_t(spark, d, "chunks")).join(n, "chunk_id", "left").join(c, "chunk_id", "left")
-    return out.select("chunk_id", "day_no", *[F.coalesce(x, nil).alias(x) for x in ("persons", "orgs", "places")], "first_name", F.coalesce("claims", nil).alias("claims"))
-
-
-@query("g2_claim_detail", f"with {_CLAIMNAMES} select cl.claim_id, cl.speaker, count(cn.name) as mentions, count(*) filter (where cn.role = 'subject') as subjects, min(cn.name) as first_name from cl left join cn on cn.claim_id = cl.claim_id group by all")
-def _(spark, d):
-    n = G.claim_names(_t(spark, d, "claims")).groupBy("claim_id").agg(F.count("name").alias("mentions"), F.count(F.when(F.col("role") == "subject", 1)).alias("subjects"), F.min("name").alias("first_name"))
-    nil = F.lit(0).cast("long")
-    return G.distinct_claims(_t(spark, d, "claims")).select("claim_id", "speaker").join(n, "claim_id", "left").select("claim_id", "speaker", F.coalesce("mentions", nil).alias("mentions"), F.coalesce("subjects", nil).alias("subjects"), "first_name")
-
-
 @query("g3_chunks_by_document", f"with {_DAYS} select doc_sha256, count(distinct chunk_id) as chunks from d group by doc_sha256")
 def _(spark, d):
     return _t(spark, d, "chunks").groupBy("doc_sha256").agg(F.countDistinct("chunk_id").alias("chunks"))
 
 
-@query("g4_people_with_body", f"with {_NAMES} select a.name, count(*) as co_mentions from n a join n b on a.chunk_id = b.chunk_id where a.kind = 'person' and b.kind = 'org' and contains(lower(b.name), 'housing') group by a.name")
-def _(spark, d):
-    n = G.chunk_names(_t(spark, d, "mentions"))
-    o = n.where("kind = 'org'").where(F.lower("name").contains("housing")).select("chunk_id")
-    return n.where("kind = 'person'").join(o, "chunk_id").groupBy("name").agg(F.count("*").alias("co_mentions"))
-
-
-@query("g5_speaker_labels", f"with {_SPEAKERS} select speaker, count(distinct chunk_id) as chunks from sp where speaker is not null group by speaker")
-def _(spark, d):
-    return _t(spark, d, "chunks").select("chunk_id", F.explode("speakers").alias("speaker")).where("speaker is not null").groupBy("speaker").agg(F.countDistinct("chunk_id").alias("chunks"))
-
-
-@query("g6_places_by_day", f"with {_NAMES}, {_DAYS} select d.commission_slug, d.day_no, n.name as place, count(*) as chunks from n join d on d.chunk_id = n.chunk_id where kind = 'place' and d.day_no is not null group by all")
-def _(spark, d):
-    n = G.chunk_names(_t(spark, d, "mentions"), ("place",)).join(G.chunk_days(_t(spark, d, "chunks")), "chunk_id").where("day_no is not null")
-    return n.groupBy("commission_slug", "day_no", F.col("name").alias("place")).agg(F.count("*").alias("chunks"))
-
-
 @query("g8_provenance", "select distinct c.chunk_id, c.commission_slug, c.day_no, c.doc_sha256, r.url, c.page_start from chunks c left join (select sha256, min(url) as url from registry where sha256 is not null group by sha256) r on r.sha256 = c.doc_sha256")
 def _(spark, d):
     r = _t(spark, d, "registry").where("sha256 is not null").groupBy(F.col("sha256").alias("doc_sha256")).agg(F.min("url").alias("url"))
@@ -412,52 +314,3 @@ def _(spark, d):
 def _(spark, d):
     c = G.distinct_claims(_t(spark, d, "claims")).select("claim_id", "day_no", T.modality(F.col("text")).alias("s")).join(G.claim_names(_t(spark, d, "claims")).select("claim_id", "name"), "claim_id")
     return c.groupBy("name").agg(F.countDistinct("day_no").alias("days"), F.countDistinct("claim_id").alias("claims"), F.countDistinct(F.when(F.col("s") == "deny", F.col("claim_id"))).alias("denials"))
-
-
-@query("r9_first_days", f"with {_NAMES}, {_DAYS} select n.kind, n.name, min(d.day_no) as first_day from n join d on d.chunk_id = n.chunk_id group by all")
-def _(spark, d):
-    return G.chunk_names(_t(spark, d, "mentions")).join(G.chunk_days(_t(spark, d, "chunks")), "chunk_id").groupBy("kind", "name").agg(F.min("day_no").alias("first_day"))
-
-
-@query("r1_first_write", "select surface_id, min(surface) as surface from surfaces where surface is not null group by surface_id")
-def _(spark, d):
-    s = _t(spark, d, "surfaces").where("surface is not null").select("surface_id", "surface")
-    return G.first_write_wins(s.limit(0), s, ["surface_id"], "surface")
-
-
-@query("r7_budget", "with c as (select chunk_id, min(length(text)) as n from chunks where text is not null group by chunk_id), r as (select chunk_id, n, sum(n) over (order by chunk_id rows between unbounded preceding and 1 preceding) as spent from c) select chunk_id, cast(coalesce(spent, 0) as bigint) as spent from r where coalesce(spent, 0) < 100000")
-def _(spark, d):
-    # the running cost of one ordered work list: one row per item, two columns
-    c = _t(spark, d, "chunks").where("text is not null").groupBy("chunk_id").agg(F.min(F.length("text").cast("long")).alias("n"))
-    spent = F.coalesce(F.sum("n").over(Window.orderBy("chunk_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    return c.select("chunk_id", spent.alias("spent")).where("spent < 100000")
-
-
-@query("r4_load_actions", f"with {_DAYS}, k as (select doc_sha256, count(distinct chunk_id) as n from d group by doc_sha256), r as (select sha256, max(coalesce(superseded_by, '')) as s from registry where sha256 is not null group by sha256) select k.doc_sha256, case when r.sha256 is null then 'no_source' when r.s <> '' then 'superseded' else 'load' end as action, k.n as chunks from k left join r on r.sha256 = k.doc_sha256")
-def _(spark, d):
-    k = _t(spark, d, "chunks").groupBy("doc_sha256").agg(F.countDistinct("chunk_id").alias("chunks"))
-    r = _t(spark, d, "registry").where("sha256 is not null").groupBy(F.col("sha256").alias("doc_sha256")).agg(F.max(F.coalesce("superseded_by", F.lit(""))).alias("s"))
-    return k.join(r, "doc_sha256", "left").select("doc_sha256", F.when(F.col("s").isNull(), "no_source").when(F.col("s") != "", "superseded").otherwise("load").alias("action"), "chunks")
-
-
-# --- vectors ------------------------------------------------------------------------------------------------------
-
-_Q = [round(((i * 37) % 64 - 32) / 32, 4) for i in range(64)]
-
-
-@query("v1_cosine_top", f"select vec_id, label, list_cosine_similarity(embedding::double[], {_Q}::double[]) as score from embeddings where label <> 3 order by score desc, vec_id limit 20")
-def _(spark, d):
-    return G.cosine_top(_t(spark, d, "embeddings").where("label <> 3"), _Q, 20).select("vec_id", "label", "score")
-
-
-@query("v3_parity", f"with {_DAYS} select (select count(distinct chunk_id) from d) as chunks, (select count(*) from mentions) >= 0 as ok")
-def _(spark, d):
-    return _t(spark, d, "chunks").agg(F.countDistinct("chunk_id").alias("chunks"), F.lit(True).alias("ok"))
-
-
-@query("v3_point_parity", f"""with {_DAYS}, r as (select sha256, max(coalesce(superseded_by, '')) as s from registry where sha256 is not null group by sha256),
-k as (select d.chunk_id, r.sha256 is null as no_source, coalesce(r.s, '') = '' as active from d left join r on r.sha256 = d.doc_sha256),
-c as (select count(distinct chunk_id) as points, count(distinct chunk_id) filter (where active) as active_chunks, count(distinct chunk_id) filter (where no_source) as no_source from k)
-select points, active_chunks, no_source, points = active_chunks and no_source = 0 as ok from c""")
-def _(spark, d):
-    return G.point_parity(QUERIES["v4_payload"](spark, d), *_t(spark, d, "chunks", "registry"))

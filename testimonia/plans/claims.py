@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from testimonia.catalog import _FORMS, _INDEX, _NAMES, _NORM, _PROCEDURAL_SQL, _STRIP, _VERBS, _t, query
-from testimonia.catalog_parsing import _label_sql
+from testimonia.plans.base import _FORMS, _INDEX, _NAMES, _NORM, _PROCEDURAL_SQL, _STRIP, _VERBS, _t, query
+from testimonia.plans.parsing import _label_sql
 from testimonia.functions import text as T
 from testimonia.operators import claims as CL, evaluation as E
 

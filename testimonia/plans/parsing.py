@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from testimonia.catalog import _TURNS, _t, query
+from testimonia.plans.base import _TURNS, _t, query
 from testimonia.functions import text as T
 from testimonia.operators import corpus as C, ordered as O, parsing as P
 from testimonia.sources.shared import written
@@ -153,3 +153,16 @@ def _(spark, d):
     two = lambda x, n=2: F.lpad(x.cast("string"), n, "0")
     stamp = F.concat(two(F.floor(ms / 60000)), F.lit(":"), two(F.floor(ms / 1000) % 60), F.lit("."), two(ms % 1000, 3))
     return c.select("doc_id", "pos", "start_s", T.timestamp_seconds(stamp).alias("seconds"))
+
+
+@query("j6_t7_containment", rf"""with l as (select doc_id, page_no, unnest(list_transform(string_split(text, chr(10)), lambda y: trim(regexp_replace(y, '{_WS}', ' ', 'g')))) as x, generate_subscripts(string_split(text, chr(10)), 1) as i from (select distinct doc_id, page_no, text from pages)),
+w as (select doc_id, string_split(string_agg(x, ' ' order by page_no, i), ' ') as w from l where x <> '' and not regexp_matches(x, '{T.LAYOUT}') group by doc_id),
+s as (select distinct doc_id, unnest(case when len(w) < 10 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' ')) end) as s from w),
+c as (select doc_id, count(*) as n from s group by doc_id),
+r as (select distinct commission_slug as s, sha256 as h, day_no as d, hearing_date as t from registry where sha256 in (select doc_id from pages)),
+p as (select distinct least(a.h, b.h) as doc_a, greatest(a.h, b.h) as doc_b from r a join r b on a.s = b.s and a.h <> b.h and (a.d = b.d or (a.t = b.t and a.t <> '') or abs(a.d - b.d) = 1)),
+k as (select p.doc_a, p.doc_b, count(*) as k from p join s x on x.doc_id = p.doc_a join s y on y.doc_id = p.doc_b and y.s = x.s group by all)
+select p.doc_a, p.doc_b, coalesce(k.k / ca.n::double, 0) as a_in_b, coalesce(k.k / cb.n::double, 0) as b_in_a, greatest(coalesce(k.k / ca.n::double, 0), coalesce(k.k / cb.n::double, 0)) >= 0.6 as is_duplicate
+from p left join c ca on ca.doc_id = p.doc_a left join c cb on cb.doc_id = p.doc_b left join k on k.doc_a = p.doc_a and k.doc_b = p.doc_b""")
+def _(spark, d):
+    return C.containment(*_t(spark, d, "registry", "pages"))

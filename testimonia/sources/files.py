@@ -40,11 +40,11 @@ def passage_scan(spark: SparkSession, folder: str, schema: str | T.StructType) -
     return rows.withColumn("file", F.substring_index(F.col("_order")["f"], "/", -1)).drop("_order")
 
 
-def manifest_total(spark: SparkSession, folder: str, without: DataFrame) -> DataFrame:
-    """One row: documents and passages of the manifest, without the documents (sha256) named; a missing number counts 0."""
-    m = json_lines(spark, folder, "sha256 string, status string, n_chunks long", "_*.json*")[0]
-    m = last_per_key(m, ["sha256"]).join(without.select("sha256").distinct(), "sha256", "left_anti")
-    return m.agg(F.count("*").alias("documents"), F.sum(F.coalesce("n_chunks", F.lit(0).cast("long"))).alias("chunks"))
+def manifest_total(spark: SparkSession, path: str, without: DataFrame) -> DataFrame:
+    """One row: documents and passages of a manifest, without the documents (sha256) named; a missing number counts 0, the last line of a document counts."""
+    m = last_per_key(json_lines(spark, path, "sha256 string, status string, n_chunks long")[0], ["sha256"])
+    m = m.join(without.select("sha256").distinct(), "sha256", "left_anti")
+    return m.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n_chunks"), F.lit(0).cast("long")).alias("chunks"))
 
 
 def seed_faults(seed: DataFrame) -> DataFrame:

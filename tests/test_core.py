@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from testimonia.catalogs import QUERIES, SQL
+from testimonia.plans import QUERIES, SQL
 from testimonia.functions import text as T
 from testimonia.operators import corpus, graph, ordered, parsing
 
