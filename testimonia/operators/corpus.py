@@ -38,35 +38,52 @@ def reflowed(pages: DataFrame) -> DataFrame:
     return pages.distinct().select("doc_id", "page_no", F.trim(F.regexp_replace(F.array_join(lines, " "), r"\s+", " ")).alias("text")).where("text <> ''")
 
 
+def _label(c: str = "speaker"):
+    return F.upper(F.trim(F.coalesce(c, F.lit(""))))
+
+
 def clean_turns(turns: DataFrame) -> DataFrame:
-    return turns.distinct().where("text is not null").withColumn("speaker", F.upper(F.trim(F.coalesce("speaker", F.lit("")))))
+    """Turns with a text, labels trimmed and in capitals; a row delivered twice counts once, keys and a hash of the text being compared."""
+    t = turns.where("text is not null").select("doc_id", "turn_no", _label().alias("speaker"), "text", "page_start", "page_end")
+    return t.groupBy("doc_id", "turn_no", "speaker", "page_start", "page_end", F.xxhash64("text").alias("_h")).agg(F.first("text").alias("text")).drop("_h")
+
+
+def turn_words(turns: DataFrame) -> DataFrame:
+    """doc_id, turn_no, speaker, words and asks (whether the text ends in a question mark) of :func:`clean_turns`; no text is exchanged."""
+    t = turns.where("text is not null").select("doc_id", "turn_no", _label().alias("speaker"), T.word_count(F.col("text")).alias("words"), F.rtrim("text").endswith("?").alias("asks"), F.xxhash64("text").alias("_h"), "page_start", "page_end")
+    return t.distinct().drop("page_start", "page_end")
 
 
 def speaker_words(turns: DataFrame) -> DataFrame:
-    return clean_turns(turns).groupBy("doc_id", "speaker").agg(F.sum(T.word_count(F.col("text")).cast("long")).alias("words"), F.count("*").alias("turns"))
+    return turn_words(turns).groupBy("doc_id", "speaker").agg(F.sum(F.col("words").cast("long")).alias("words"), F.count("*").alias("turns"))
 
 
 def counsel(turns: DataFrame, least_docs: int = 10) -> DataFrame:
     """Labels with the suffix of senior counsel, or in many documents."""
-    t = clean_turns(turns).where("speaker <> ''")
-    return t.groupBy("speaker").agg(F.countDistinct("doc_id").alias("docs")).where(T.is_senior_counsel(F.col("speaker")) | (F.col("docs") >= least_docs))
+    t = turns.where("text is not null").select("doc_id", _label().alias("speaker")).where("speaker <> ''").distinct()
+    return t.groupBy("speaker").agg(F.count("*").alias("docs")).where(T.is_senior_counsel(F.col("speaker")) | (F.col("docs") >= least_docs))
 
 
 def witnesses(turns: DataFrame, least_answers: int = 5) -> DataFrame:
-    """Per document the speaker of the most answers: turns after another speaker's question, not by bench or counsel."""
-    t = clean_turns(turns).where("speaker <> ''")
-    w = Window.partitionBy("doc_id").orderBy("turn_no", "text", "speaker")
-    t = t.withColumn("ps", F.lag("speaker").over(w)).withColumn("pt", F.rtrim(F.lag("text").over(w)))
-    a = t.where(F.col("pt").endswith("?") & (F.col("ps") != F.col("speaker")) & ~T.is_bench(F.col("speaker")))
+    """Per document the speaker of the most answers, of equals the one who answered first: turns after another speaker's question, not by bench or counsel."""
+    t = turn_words(turns).where("speaker <> ''")
+    t = O.preceding(t, ["doc_id"], "turn_no", ["_h", "speaker"], F.struct("speaker", "asks"), "_p")
+    a = t.where(F.col("_p.asks") & (F.col("_p.speaker") != F.col("speaker")) & ~T.is_bench(F.col("speaker")))
     a = a.join(counsel(turns).select("speaker"), "speaker", "left_anti")
-    c = a.groupBy("doc_id", "speaker").agg(F.count("*").alias("answers"))
-    top = Window.partitionBy("doc_id").orderBy(F.desc("answers"), "speaker")
-    return c.withColumn("rn", F.row_number().over(top)).where(f"rn = 1 and answers >= {least_answers}").drop("rn")
+    c = a.groupBy("doc_id", "speaker").agg(F.count("*").alias("answers"), F.min("turn_no").alias("_first"))
+    best = c.groupBy("doc_id").agg(F.min(F.struct((-F.col("answers")).alias("n"), "_first", "speaker")).alias("b"))
+    return best.select("doc_id", F.col("b.speaker").alias("speaker"), (-F.col("b.n")).alias("answers")).where(F.col("answers") >= least_answers)
+
+
+def labels_carried(turns: DataFrame) -> DataFrame:
+    """doc_id, turn_no and the last label up to each turn."""
+    t = turn_words(turns)
+    return O.last_seen(t, ["doc_id"], "turn_no", ["_h", "speaker"], F.nullif("speaker", F.lit("")), "label").select("doc_id", "turn_no", "label")
 
 
 def roles(turns: DataFrame) -> DataFrame:
     """Words by role: bench, witness, counsel."""
-    s = speaker_words(turns).where("speaker <> ''").join(witnesses(turns).select("doc_id", F.col("speaker").alias("w")), "doc_id", "left")
+    s = written(speaker_words(turns), "speakers").where("speaker <> ''").join(witnesses(turns).select("doc_id", F.col("speaker").alias("w")), "doc_id", "left")
     role = F.when(T.is_bench(F.col("speaker")), "bench").when(F.col("speaker") == F.col("w"), "witness").otherwise("counsel")
     r = s.groupBy(role.alias("role")).agg(F.sum("words").alias("words"))
     total = r.agg(F.sum("words").alias("total"))
@@ -96,11 +113,13 @@ def candidate_documents(registry: DataFrame) -> DataFrame:
     return pairs[0].union(pairs[1]).union(pairs[2]).where("doc_a <> doc_b").distinct()
 
 
-SHINGLE_WORDS, BUCKETS = 10, 16
+SHINGLE_WORDS = 10
+#: A sequence in more documents is met pair by pair of the candidates, one in fewer by its own list of documents.
+RARE = 32
 
 
-def shingle_sets(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, bucket, hs: hashes of the distinct sequences of n words of each document's text, layout lines left out, cut into buckets.
+def shingles(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
+    """doc_id, h: hashes of the distinct sequences of n words of each document's text, layout lines left out.
 
     Sequences go on over page ends: a page takes the first words of the pages that follow it along, no more. A document of
     fewer words is one sequence. ``docs``: doc_id of the documents asked for.
@@ -117,21 +136,29 @@ def shingle_sets(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> D
     # a short document has no sequence of n words on any of its pages
     short = p.groupBy("doc_id").agg(F.sum(F.size("w")).alias("k"), F.slice(F.sort_array(F.collect_list(F.struct("page_no", F.slice("w", 1, n).alias("w")))), 1, n).alias("ws")).where(f"k < {n}")
     short = short.select("doc_id", F.xxhash64(F.array_join(F.flatten(F.transform("ws", lambda x: x["w"])), " ")).alias("h"))
-    return long.unionByName(short).groupBy("doc_id", F.pmod("h", F.lit(BUCKETS)).alias("bucket")).agg(F.collect_set("h").alias("hs"))
+    return long.unionByName(short).distinct()
 
 
 def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> DataFrame:
     """Candidate pairs of documents with pages: the share of each one's sequences that the other has, and whether one repeats the other.
 
-    Sets are made once, and only of documents in a pair; pairs meet them bucket by bucket. A document without words has a share of 0.
+    Sequences are hashed once, and only of documents in a pair. One that a single document has meets nothing; one that a
+    few have gives its pairs of documents; those that many have are short lists of each document, which the candidate
+    pairs compare. Both ways are exact, and their counts add up. A document without words has a share of 0.
     """
     have = pages.select("doc_id").distinct()
     a, b = have.select(F.col("doc_id").alias("doc_a")), have.select(F.col("doc_id").alias("doc_b"))
     pairs = written(candidate_documents(registry).join(a, "doc_a").join(b, "doc_b"), "pairs")
-    sets = written(shingle_sets(pages, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id"))), "sets")
-    sizes = sets.groupBy("doc_id").agg(F.sum(F.size("hs")).alias("n"))
-    x, y = sets.select(F.col("doc_id").alias("doc_a"), "bucket", F.col("hs").alias("ha")), sets.select(F.col("doc_id").alias("doc_b"), "bucket", F.col("hs").alias("hb"))
-    both = pairs.join(x, "doc_a").join(y, ["doc_b", "bucket"]).groupBy("doc_a", "doc_b").agg(F.sum(F.size(F.array_intersect("ha", "hb"))).alias("k"))
+    sets = written(shingles(pages, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id"))), "sets")
+    sizes = sets.groupBy("doc_id").agg(F.count("*").alias("n"))
+    shared = written(sets.join(sets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "h"), "shared")
+    few = shared.where(F.col("c") <= RARE).groupBy("h").agg(F.sort_array(F.collect_list("doc_id")).alias("ds"))
+    met = few.select(F.posexplode("ds").alias("i", "doc_a"), "ds").select("doc_a", F.explode(F.expr("slice(ds, i + 2, size(ds))")).alias("doc_b"))
+    met = met.groupBy("doc_a", "doc_b").agg(F.count("*").alias("k"))
+    lists = shared.where(F.col("c") > RARE).groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
+    x, y = lists.select(F.col("doc_id").alias("doc_a"), F.col("hs").alias("ha")), lists.select(F.col("doc_id").alias("doc_b"), F.col("hs").alias("hb"))
+    often = pairs.join(x, "doc_a").join(y, "doc_b").select("doc_a", "doc_b", F.size(F.array_intersect("ha", "hb")).cast("long").alias("k"))
+    both = met.unionByName(often).groupBy("doc_a", "doc_b").agg(F.sum("k").alias("k"))
     na, nb = sizes.select(F.col("doc_id").alias("doc_a"), F.col("n").alias("na")), sizes.select(F.col("doc_id").alias("doc_b"), F.col("n").alias("nb"))
     out = pairs.join(na, "doc_a", "left").join(nb, "doc_b", "left").join(both, ["doc_a", "doc_b"], "left")
     share = lambda n: F.coalesce(F.try_divide(F.col("k").cast("double"), F.col(n)), F.lit(0.0))

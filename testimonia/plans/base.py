@@ -120,7 +120,7 @@ def _(spark, d):
 
 @query("a2_a3_turn_lengths", f"with {_TURNS}, w as (select doc_id, {_WC} as n from t) select doc_id, median(n) as median_words, avg(case when n < 15 then 1 else 0 end) as short_share, count(*) as turns from w group by doc_id")
 def _(spark, d):
-    w = C.clean_turns(_t(spark, d, "turns")).select("doc_id", T.word_count(F.col("text")).alias("n"))
+    w = C.turn_words(_t(spark, d, "turns")).select("doc_id", F.col("words").alias("n"))
     return w.groupBy("doc_id").agg(F.median("n").alias("median_words"), F.avg(F.when(F.col("n") < 15, 1).otherwise(0)).alias("short_share"), F.count("*").alias("turns"))
 
 
@@ -130,8 +130,8 @@ def _(spark, d):
 
 
 _WITNESS = f"""l as (select *, lag(speaker) over w as ps, rtrim(lag(text) over w) as pt from t where speaker <> '' window w as (partition by doc_id order by turn_no, text, speaker)),
-an as (select doc_id, speaker, count(*) as answers from l where pt like '%?' and ps <> speaker and not {_BENCH} and speaker not in (select speaker from co) group by doc_id, speaker),
-wi as (select doc_id, speaker, answers from (select *, row_number() over (partition by doc_id order by answers desc, speaker) as rn from an) where rn = 1 and answers >= 5)"""
+an as (select doc_id, speaker, count(*) as answers, min(turn_no) as ft from l where pt like '%?' and ps <> speaker and not {_BENCH} and speaker not in (select speaker from co) group by doc_id, speaker),
+wi as (select doc_id, speaker, answers from (select *, row_number() over (partition by doc_id order by answers desc, ft, speaker) as rn from an) where rn = 1 and answers >= 5)"""
 
 
 @query("a8_witness", f"with {_TURNS}, {_COUNSEL}, {_WITNESS} select * from wi")
@@ -148,18 +148,17 @@ def _(spark, d):
 
 @query("a6_speaker_days", f"with {_TURNS} select speaker, count(distinct doc_id) as docs, cast(sum({_WC}) as bigint) as words from t where speaker <> '' group by speaker")
 def _(spark, d):
-    return C.clean_turns(_t(spark, d, "turns")).where("speaker <> ''").groupBy("speaker").agg(F.countDistinct("doc_id").alias("docs"), F.sum(T.word_count(F.col("text")).cast("long")).alias("words"))
+    return C.turn_words(_t(spark, d, "turns")).where("speaker <> ''").groupBy("speaker").agg(F.countDistinct("doc_id").alias("docs"), F.sum(F.col("words").cast("long")).alias("words"))
 
 
 @query("l3_top_speakers", f"with {_TURNS} select speaker, count(*) as turns from t where speaker <> '' group by speaker order by turns desc, speaker limit 20")
 def _(spark, d):
-    return C.clean_turns(_t(spark, d, "turns")).where("speaker <> ''").groupBy("speaker").agg(F.count("*").alias("turns")).orderBy(F.desc("turns"), "speaker").limit(20)
+    return C.turn_words(_t(spark, d, "turns")).where("speaker <> ''").groupBy("speaker").agg(F.count("*").alias("turns")).orderBy(F.desc("turns"), "speaker").limit(20)
 
 
 @query("w4_label_carried", f"with {_TURNS} select doc_id, turn_no, last_value(nullif(speaker, '') ignore nulls) over (partition by doc_id order by turn_no, text, speaker rows unbounded preceding) as label from t")
 def _(spark, d):
-    w = Window.partitionBy("doc_id").orderBy("turn_no", "text", "speaker").rowsBetween(Window.unboundedPreceding, 0)
-    return C.clean_turns(_t(spark, d, "turns")).select("doc_id", "turn_no", F.last(F.nullif("speaker", F.lit("")), ignorenulls=True).over(w).alias("label"))
+    return C.labels_carried(_t(spark, d, "turns"))
 
 
 # --- days ---------------------------------------------------------------------------------------------------------
