@@ -6,10 +6,12 @@ of ``size`` order values; windows run inside a block, and a table with one row p
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SIZE = 2048
@@ -78,19 +80,6 @@ def running_sum(df: DataFrame, part: list[str], order: str, tie: list[str], valu
     return _joined(df.withColumn("_in", F.sum("_v").over(inside)), sums, keys).withColumn(out, F.col("_in") + F.col("_had")).drop("_blk", "_v", "_in", "_had")
 
 
-def _scan(n: np.ndarray, solo: np.ndarray, limit: int, gap: int, held: int) -> tuple[np.ndarray, int]:
-    """Which rows begin a parcel, and the length held at the end, when ``held`` characters are open before (0: none)."""
-    begins = np.zeros(len(n), bool)
-    for i, (size, own) in enumerate(zip(n.tolist(), solo.tolist())):
-        if own:
-            begins[i], held = True, 0
-        elif held and held + gap + size <= limit:
-            held += gap + size
-        else:
-            begins[i], held = True, max(size, 1)
-    return begins, held
-
-
 def greedy_starts(df: DataFrame, part: str, order: str, n: str, solo: str, limit: int, gap: int = 1, size: int = SIZE) -> DataFrame:
     """Adds ``begins``: whether the row begins a parcel when rows are packed in order into parcels of at most ``limit`` characters.
 
@@ -99,8 +88,11 @@ def greedy_starts(df: DataFrame, part: str, order: str, n: str, solo: str, limit
     of its first rows that a parcel from before could end at, what is held at its end; these tables, a few numbers a
     block, are followed block by block, and then all blocks are packed at once.
     """
-    kind = df.schema[part].dataType.simpleString()
+    kind, order_kind = (df.schema[c].dataType.simpleString() for c in (part, order))
     rows = with_block(df.select(part, order, n, solo), order, size)
+    # a part of one block begins with nothing held; only the others need tables
+    blocks = rows.select(part, "_blk").distinct()
+    several = blocks.groupBy(part).agg(F.count("*").alias("_c")).where("_c > 1").select(part)
 
     def table(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
@@ -121,7 +113,7 @@ def greedy_starts(df: DataFrame, part: str, order: str, n: str, solo: str, limit
         reach = min(reach, int(solos[0]) + 1 if len(solos) else reach, len(sizes))
         return pd.DataFrame({part: [key[0]], "_blk": [key[1]], "grow": [here[:reach].tolist()], "exits": [end[:reach].tolist()], "solo_at": [int(solos[0]) if len(solos) else -1], "total": [int(here[-1])]})
 
-    tables = rows.groupBy(part, "_blk").applyInPandas(table, f"{part} {kind}, _blk long, grow array<long>, exits array<long>, solo_at long, total long")
+    tables = rows.join(several, part, "left_semi").groupBy(part, "_blk").applyInPandas(table, f"{part} {kind}, _blk long, grow array<long>, exits array<long>, solo_at long, total long")
 
     def follow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         held, out = 0, []
@@ -138,10 +130,25 @@ def greedy_starts(df: DataFrame, part: str, order: str, n: str, solo: str, limit
 
     held = tables.groupBy(part).applyInPandas(follow, f"{part} {kind}, _blk long, held long")
 
-    def mark(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values(order, kind="stable")
-        begins, _ = _scan(left[n].to_numpy(np.int64), left[solo].to_numpy(bool), limit, gap, int(right["held"].iloc[0]) if len(right) else 0)
-        return pd.DataFrame({part: left[part], order: left[order], "begins": begins})
-
-    marked = rows.groupBy(part, "_blk").cogroup(held.groupBy(part, "_blk")).applyInPandas(mark, f"{part} {kind}, {order} {df.schema[order].dataType.simpleString()}, begins boolean")
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, open_ = None, 0
+        for b in batches:
+            parts, orders = b.column(0), b.column(2)
+            begins = []
+            for p, k, size_, own, before in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4, 5))):
+                if (p, k) != now:
+                    now, open_ = (p, k), before or 0
+                if own:
+                    begins.append(True)
+                    open_ = 0
+                elif open_ and open_ + gap + size_ <= limit:
+                    begins.append(False)
+                    open_ += gap + size_
+                else:
+                    begins.append(True)
+                    open_ = max(size_, 1)
+            yield pa.RecordBatch.from_arrays([parts, orders, pa.array(begins, pa.bool_())], [part, order, "begins"])
+
+    rows = rows.join(held, [part, "_blk"], "left").repartition(part, "_blk").sortWithinPartitions(part, "_blk", order)
+    marked = rows.select(part, "_blk", order, F.col(n).cast("long"), solo, "held").mapInArrow(mark, f"{part} {kind}, {order} {order_kind}, begins boolean")
     return df.join(marked, [part, order])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from testimonia.functions import text as T
 from testimonia.operators import ordered as O
+from testimonia.sources.shared import written
 
 MAX_CHARS = 1800
 
@@ -111,11 +112,12 @@ def packed_turns(turns: DataFrame, limit: int = MAX_CHARS) -> DataFrame:
     """
     t = turns.where("text <> ''").select("doc_id", F.col("turn_no").cast("long").alias("turn_no"), F.coalesce("speaker", F.lit("")).alias("speaker"), "text", "page_start", "page_end")
     t = t.withColumn("n", F.length("speaker") + 2 + F.length("text")).withColumn("solo", F.col("n") > limit)
-    t = O.greedy_starts(t, "doc_id", "turn_no", "n", "solo", limit)
+    t = O.greedy_starts(written(t, "turns"), "doc_id", "turn_no", "n", "solo", limit)
     long = split_turns(t.where("solo"), limit).select("doc_id", "turn_no", "pieces")
     t = t.join(long, ["doc_id", "turn_no"], "left")
     weight = F.when(F.col("solo"), F.size("pieces")).when(F.col("begins"), 1).otherwise(0)
-    t = O.running_sum(t.withColumn("_w", weight), ["doc_id"], "turn_no", [], F.col("_w"), "_to")
+    # two branches read what is packed: it is written once
+    t = written(O.running_sum(t.withColumn("_w", weight), ["doc_id"], "turn_no", [], F.col("_w"), "_to"), "packed")
     alone = t.where("solo").select("doc_id", (F.col("_to") - F.col("_w")).alias("_at"), F.posexplode("pieces").alias("_i", "text"), "speaker", "page_start", "page_end")
     alone = alone.select("doc_id", (F.col("_at") + F.col("_i")).alias("chunk_index"), "text", F.array("speaker").alias("speakers"), F.lit(1).cast("long").alias("n_turns"), "page_start", "page_end")
     g = t.where("not solo").groupBy("doc_id", (F.col("_to") - 1).alias("chunk_index")).agg(F.sort_array(F.collect_list(F.struct("turn_no", "speaker", "text", "page_start", "page_end"))).alias("p"))
