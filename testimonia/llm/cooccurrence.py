@@ -143,9 +143,12 @@ def surprising_pairs(members: DataFrame, min_count: int = 1, min_lift: float = 0
 
     # a tail depends on the two degrees and the count alone: one row for all pairs that have them in common
     low, high = F.least("n_a", "n_b").alias("_low"), F.greatest("n_a", "n_b").alias("_high")
-    kinds = pairs.select(low, high, F.col("n_ab").alias("_k")).distinct().mapInArrow(tails, "_low long, _high long, _k long, expected double, log10_p double")
+    kinds = written(pairs.select(low, high, F.col("n_ab").alias("_k")).distinct(), "kinds")
+    n_kinds = kinds.count()
+    # a tail is a small row and long work: rows are spread by number, not by size
+    kinds = kinds.repartition(max(8, min(10_000, n_kinds // 2_000)), "_low", "_high", "_k").mapInArrow(tails, "_low long, _high long, _k long, expected double, log10_p double")
     kinds = written(kinds, "tails")
-    kinds = F.broadcast(kinds) if kinds.count() <= SENT_TAILS else kinds
+    kinds = F.broadcast(kinds) if n_kinds <= SENT_TAILS else kinds
     keyed = pairs.select("item_a", "item_b", "n_a", "n_b", "n_ab", "n_records", low, high, F.col("n_ab").alias("_k"))
     scored = written(keyed.join(kinds, ["_low", "_high", "_k"]).drop("_low", "_high", "_k"), "scored")
     scored = scored.withColumn("_bin", F.ceil(F.col("log10_p") * 1000))

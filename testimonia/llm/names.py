@@ -250,7 +250,9 @@ def resolve(writings: DataFrame, entities: DataFrame) -> DataFrame:
 
     # the dimension of entities is one small, reviewed table; its nicknames are learnt from all of its aliases together
     e = written(dim.coalesce(1).mapInArrow(run, "entity_id string, e_type string, e_kind string, e_title string, e_fixed string, e_key string"), "forms")
-    hint = F.broadcast if e.count() <= BROADCAST_FORMS else (lambda x: x)
+    n_forms = e.count()
+    hint = F.broadcast if n_forms <= BROADCAST_FORMS else (lambda x: x)
+    wide = F.broadcast if n_forms * SEGMENTS <= BROADCAST_FORMS else (lambda x: x)  # the index has a row for each segment
     w = writings.select("type", "writing").where("writing is not null and trim(writing) <> ''").distinct()
     forms = written(forms_of(w), "writings")
     same = (F.col("type") == F.col("e_type")) & (F.col("kind") == F.col("e_kind")) & (F.col("fixed") == F.col("e_fixed"))
@@ -262,7 +264,7 @@ def resolve(writings: DataFrame, entities: DataFrame) -> DataFrame:
     exact = written(exact_named.select(*cols).unionByName(exact_full.select(*cols)).withColumn("slips", F.lit(0)).distinct(), "exact")
     rest = forms.join(exact.select("type", "writing").distinct(), ["type", "writing"], "left_anti")
     index = segments(e.where("e_kind <> 'acronym'"))
-    hit = probes(rest).join(hint(index), ["e_len", "seg", "part"])
+    hit = probes(rest).join(wide(index), ["e_len", "seg", "part"])
     hit = hit.where((F.col("type") == F.col("e_type")) & (F.col("kind") == F.col("e_kind")) & (F.expr(loose) | (F.col("fixed") == F.col("e_fixed"))))
     hit = hit.select(*cols, "kind", "fixed", "key", "e_fixed", "e_key").distinct().withColumn("slips", one_slip(F.col("key"), F.col("e_key"))).where("slips is not null")
     known = e.where("e_kind = 'full'").select(F.col("e_fixed").alias("known")).distinct()
