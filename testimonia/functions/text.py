@@ -102,6 +102,12 @@ def chunk_id(document: Column, index: Column, text: Column) -> Column:
     return F.sha2(F.concat(document, F.lit(":"), index.cast("string"), F.lit(":"), text), 256)
 
 
+def judge_key(chunk: Column, arm: str, *parts: Column) -> Column:
+    """The passage's first 32 characters, the arm, and 16 of the hash of what is judged; a null part is an empty one."""
+    body = F.concat(F.lit('["'), F.concat_ws('","', *[F.coalesce(p, F.lit("")) for p in parts]), F.lit('"]'))
+    return F.concat(F.substring(chunk, 1, 32), F.lit(f"__{arm}__"), F.substring(F.sha2(body, 256), 1, 16))
+
+
 def hearing_key(slug: Column, day: Column, date: Column) -> Column:
     known = day.isNotNull() & (F.coalesce(date, F.lit("")) != "")
     return F.when(known, F.concat(slug, F.lit("-day-"), day.cast("string"), F.lit("-"), date)).otherwise(F.concat(slug, F.lit("-unknown")))

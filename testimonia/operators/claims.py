@@ -121,6 +121,14 @@ def label_inventory(chunks: DataFrame) -> DataFrame:
     return both.select("chunk_id", "start", T.normalise_label(F.col("b.label")).alias("speaker"), F.col("b.parser").alias("parser"))
 
 
+def label_spans(chunks: DataFrame) -> DataFrame:
+    """chunk_id, start, stop, speaker of :func:`label_inventory`: a label's words end where the next label begins, or with the text."""
+    size = chunks.where("text is not null").dropDuplicates(["chunk_id"]).select("chunk_id", F.length("text").alias("_n"))
+    own = label_inventory(chunks).groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("start", "speaker"))).alias("ls")).join(size, "chunk_id")
+    spans = own.select("chunk_id", "_n", "ls", F.posexplode("ls").alias("i", "l"))
+    return spans.select("chunk_id", "l.start", F.coalesce(F.get("ls", F.col("i") + 1)["start"], "_n").alias("stop"), "l.speaker")
+
+
 def attribution(claims: DataFrame, chunks: DataFrame, entities: DataFrame) -> DataFrame:
     """claim_id and bucket: whether the speaker of a claim is the one under whose label its quote stands.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from testimonia.plans.base import _FORMS, _INDEX, _NAMES, _NORM, _PROCEDURAL_SQL, _STRIP, _VERBS, _t, query
 from testimonia.plans.parsing import _label_sql
+from testimonia import reports as R
 from testimonia.functions import text as T
 from testimonia.operators import claims as CL, evaluation as E
 
@@ -281,3 +282,23 @@ def _(spark, d):
     judge = lambda m: F.col("k") * 2 * 0.8 * T.cost_usd({"input": F.lit(800), "output": F.lit(160)}, m)
     rows = [F.struct(F.lit(m).alias("model"), arm(m).alias("arm_usd"), judge(m).alias("judge_usd")) for m in T.PRICES]
     return s.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+
+
+@query("w8_label_spans", f"with {_LABELS}, t as (select chunk_id, length(any_value(text)) as n from chunks where text is not null group by chunk_id) select lab.chunk_id, lab.start, coalesce(lead(lab.start) over (partition by lab.chunk_id order by lab.start), t.n) as stop, lab.speaker from lab join t on t.chunk_id = lab.chunk_id")
+def _(spark, d):
+    """Each label with the place where its words end: the next label, or the end of the text."""
+    return CL.label_spans(_t(spark, d, "chunks"))
+
+
+@query("x17_claim_lines", rf"""with c as (select distinct claim_id, day_no, page_start, speaker, coalesce(quote, text, '') as said from claims), t as (select *, trim(regexp_replace(said, '[\s\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g')) as s from c)
+select claim_id, '- [' || substr(claim_id, 1, 10) || ' | Day ' || coalesce(cast(day_no as varchar), 'None') || case when page_start is not null then ', p.' || page_start else '' end || case when coalesce(speaker, '') <> '' then ' — ' || speaker else '' end || '] ' || case when length(s) > 300 then substr(s, 1, 300) || '…' else s end as line from t""")
+def _(spark, d):
+    c = _t(spark, d, "claims").select("claim_id", "day_no", "page_start", "speaker", F.coalesce("quote", "text").alias("said")).distinct()
+    return c.select("claim_id", R.claim_line(F.col("claim_id"), F.col("day_no"), F.col("page_start"), F.col("speaker"), F.col("said")).alias("line"))
+
+
+@query("f27_judge_keys", f"with {_CL} select claim_id, substr(chunk_id, 1, 32) || '__reference__' || substr(sha256('[\"' || upper(coalesce(speaker, '')) || '\",\"' || coalesce(hex(text), '') || '\",\"' || coalesce(hex(quote), '') || '\"]'), 1, 16) as key from cl")
+def _(spark, d):
+    """Keys of a judge's answers: one for each passage, arm and what is judged."""
+    c = _t(spark, d, "claims").select("claim_id", "chunk_id", "speaker", "text", "quote", "certainty").distinct()
+    return c.select("claim_id", T.judge_key(F.col("chunk_id"), "reference", F.upper("speaker"), F.hex("text"), F.hex("quote")).alias("key"))

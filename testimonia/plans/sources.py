@@ -11,7 +11,7 @@ from testimonia.plans.base import _t, query
 from testimonia.plans.parsing import _WS
 from testimonia.plans.claims import _SAMPLE
 from testimonia.functions import links as L
-from testimonia.operators import corpus as C, evaluation as E, loading as LD
+from testimonia.operators import corpus as C, evaluation as E, loading as LD, providers as PV
 from testimonia.sources import files as S, html as H
 from testimonia.sources.shared import shared_dir
 
@@ -248,3 +248,27 @@ def _(spark, d):
 @query("f16_days_and_dates", f"select distinct title, {_day('title')} as day_no, {_date('title')} as date from registry where title <> ''")
 def _(spark, d):
     return _t(spark, d, "registry").where("title <> ''").select("title").distinct().select("title", L.day_number(F.col("title")).alias("day_no"), L.date_in(F.col("title"), F.lit("")).alias("date"))
+
+
+@query("x14_file_digests", "with c as (select distinct doc_sha256, chunk_index, chunk_id, text from chunks where text is not null), j as (select doc_sha256, string_agg(text || chr(1), '' order by chunk_index, chunk_id) as t from c group by doc_sha256) select doc_sha256, cast(strlen(t) as bigint) as size, sha256(t) as sha256 from j")
+def _(spark, d):
+    """Digests of files by their bytes: the passages of every document are written, a file each."""
+    folder = _folder(spark, "files")
+    c = _t(spark, d, "chunks").select("doc_sha256", "chunk_index", "chunk_id", "text").where("text is not null").distinct()
+    c.repartition("doc_sha256").sortWithinPartitions("doc_sha256", "chunk_index", "chunk_id").select("text", "doc_sha256").write.partitionBy("doc_sha256").option("lineSep", "\u0001").text(folder)
+    return PV.file_digests(PV.binary_files(spark, folder, "*.txt")).select(F.regexp_extract("path", "doc_sha256=([^/]*)/", 1).alias("doc_sha256"), "size", "sha256")
+
+
+@query("l6_preferred_sources", "select commission_slug, day_no, arg_min(url, {'p': case source_type when 'transcript' then 0 when 'statement' then 1 when 'video' then 2 else 3 end, 'u': url}) as url from registry where day_no is not null group by all")
+def _(spark, d):
+    """For each hearing day the source that is preferred: a transcript before a statement before a video."""
+    place = F.when(F.col("source_type") == "transcript", 0).when(F.col("source_type") == "statement", 1).when(F.col("source_type") == "video", 2).otherwise(3)
+    return _t(spark, d, "registry").where("day_no is not null").groupBy("commission_slug", "day_no").agg(F.min_by("url", F.struct(place.alias("p"), "url")).alias("url"))
+
+
+@query("k1_saved_registry", f"with {_LATEST} select url, commission_slug, title from lt")
+def _(spark, d):
+    """The registry saved in its order and read back."""
+    folder, r = _folder(spark, "saved"), C.latest_per_url(_t(spark, d, "registry")).select("commission_slug", "url", "title")
+    sinks.save_registry(r, folder)
+    return S.json_lines(spark, folder, "commission_slug string, url string, title string")[0].select("url", "commission_slug", "title")
