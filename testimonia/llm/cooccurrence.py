@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from testimonia.llm.shared import written
+from testimonia.sources.shared import written
 from testimonia.sources.tables import table
 
 #: Pairs of a record are taken block by block: no row is asked for more than BLOCK * BLOCK pairs.
@@ -68,13 +68,19 @@ def pair_counts(members: DataFrame, min_count: int = 1, min_lift: float = 0.0) -
     return out.where((F.col("n_ab") >= min_count) & (F.col("n_ab") * F.col("n_records") >= F.lit(float(min_lift)) * F.col("n_a") * F.col("n_b")))
 
 
+def _expected(a: np.ndarray, b: np.ndarray, weight: np.ndarray, cells: int = 4_000_000) -> np.ndarray:
+    """For each a the sum of weight * b / (1 + a b) over all b, a block of rows at a time, so that the memory is bounded."""
+    step = max(1, cells // max(1, len(b)))
+    return np.concatenate([((weight * b)[None, :] / (1 + np.outer(a[i : i + step], b))).sum(1) for i in range(0, len(a), step)]) if len(a) else a
+
+
 def fit_null(item_deg: np.ndarray, item_mult: np.ndarray, rec_deg: np.ndarray, rec_mult: np.ndarray, rounds: int = 2000, tol: float = 1e-9):
     """x per item degree and y per record degree of the bipartite configuration model, by fixed-point rounds."""
     total = max(1.0, float((item_deg * item_mult).sum()))
     x, y = item_deg / math.sqrt(total), rec_deg / math.sqrt(total)
     for _ in range(rounds):
-        nx = item_deg / ((rec_mult * y)[None, :] / (1 + np.outer(x, y))).sum(1)
-        ny = rec_deg / ((item_mult * nx)[:, None] / (1 + np.outer(nx, y))).sum(0)
+        nx = item_deg / _expected(x, y, rec_mult)
+        ny = rec_deg / _expected(y, nx, item_mult)
         moved = max(np.abs(nx / x - 1).max(initial=0), np.abs(ny / y - 1).max(initial=0))
         x, y = nx, ny
         if moved < tol:

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from testimonia.llm.shared import shared_dir, written
+from testimonia.sources.shared import shared_dir, written
 from testimonia.sources.tables import table
 
 MAX_CHARS, OVERLAP, SLACK = 1800, 150, 450

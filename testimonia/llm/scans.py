@@ -18,8 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from testimonia.llm.ordered import following, with_block
-from testimonia.llm.shared import written
+from testimonia.operators.ordered import following, with_block
+from testimonia.sources.shared import written
 from testimonia.sources.tables import table
 
 #: Lines from the top and from the bottom of a page that can be furniture by their repetition.

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from testimonia.llm.ordered import with_block
-from testimonia.llm.shared import written
+from testimonia.operators.ordered import with_block
+from testimonia.sources.shared import written
 from testimonia.sources.tables import table
 
 BLOCK = 4096
