@@ -102,6 +102,14 @@ def sweep(claims: DataFrame, subjects: DataFrame, most: float = 0.02) -> DataFra
     return s.select("*", rate.alias("structural_rate"), (rate <= most).alias("gate_ok"))
 
 
+def framing_counts(claims: DataFrame) -> DataFrame:
+    """label (the certainty), claims, structural_flags and share: how the distinct claims are framed."""
+    c = claims.select("claim_id", "speaker", "text", "certainty", F.xxhash64("quote")).distinct()
+    flagged = T.structurally_asserted(F.col("speaker"), F.coalesce("text", F.lit("")))
+    g = c.groupBy(F.coalesce("certainty", F.lit("unlabelled")).alias("label")).agg(F.count("*").alias("claims"), F.count(F.when(flagged, 1)).alias("structural_flags"))
+    return g.crossJoin(g.agg(F.sum("claims").alias("_n"))).select("label", "claims", "structural_flags", (F.col("claims") / F.col("_n")).alias("share"))  # one row
+
+
 def _marked(text: Column, pattern: str) -> Column:
     """Labels of a text as array<struct<start, label>>; a mark is put before each, and the parts' lengths give the places."""
     parts = F.split(F.regexp_replace(text, pattern, "\u0001$0"), "\u0001", -1)

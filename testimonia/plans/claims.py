@@ -302,3 +302,9 @@ def _(spark, d):
     """Keys of a judge's answers: one for each passage, arm and what is judged."""
     c = _t(spark, d, "claims").select("claim_id", "chunk_id", "speaker", "text", "quote", "certainty").distinct()
     return c.select("claim_id", T.judge_key(F.col("chunk_id"), "reference", F.upper("speaker"), F.hex("text"), F.hex("quote")).alias("key"))
+
+
+@query("a18_framing_counts", f"with {_CL}, c as (select coalesce(certainty, 'unlabelled') as label, {_FLAGGED} as flagged from cl) select label, count(*) as claims, count(*) filter (where flagged) as structural_flags, count(*) / sum(count(*)) over ()::double as share from c group by label")
+def _(spark, d):
+    """Claims by how certain they are said to be, with their structural flags and their share of all."""
+    return CL.framing_counts(_t(spark, d, "claims"))

@@ -250,3 +250,10 @@ def _(spark, d):
     g = _t(spark, d, "registry").where(r"hearing_date rlike '^\\d{4}-\\d{2}-\\d{2}$'").groupBy(F.col("sha256").alias("doc_id")).agg(F.min("hearing_date").alias("hearing_date"))
     w = Window.orderBy("hearing_date", "doc_id").rowsBetween(-4, 0)  # one row per hearing
     return t.join(g, "doc_id").select("doc_id", "hearing_date", "median_words", F.avg("median_words").over(w).alias("mean5"))
+
+
+@query("a13_note_prefixes", f"with {_LATEST} select commission_slug, coalesce(nullif(split_part(notes, ':', 1), ''), 'none') as status, count(*) as records from lt group by all")
+def _(spark, d):
+    """Records by what their notes say before the colon."""
+    r = C.latest_per_url(_t(spark, d, "registry"))
+    return r.groupBy("commission_slug", F.coalesce(F.nullif(F.substring_index("notes", ":", 1), F.lit("")), F.lit("none")).alias("status")).agg(F.count("*").alias("records"))
