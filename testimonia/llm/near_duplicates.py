@@ -32,7 +32,7 @@ from testimonia.sources.tables import table
 WORDS, SIMILARITY = 3, 0.55
 TREES, DEPTH, BRANCHES = 32, 3, 3
 #: Documents of a region that are compared with each other without a deeper order.
-REGION = 256
+REGION = 1024
 #: Deeper orders of a full region; what is still full below them is compared whole.
 LEVELS = 8
 #: Documents of a region of alike documents that one task compares with as many others.
@@ -40,7 +40,7 @@ BLOCK = 512
 #: Pages of a document that are hashed together, and parts into which a document's set is cut for verification.
 PAGES, BUCKETS = 256, 8
 _SIGNS = re.compile(r"[^\w\s]|_")
-_PLAIN_SIGNS = {ord(c): None for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"}
+_PLAIN_SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +55,7 @@ def running_words(lines: list[str]) -> tuple[list[str], bool]:
             out.append("\n")
     is_cut = bool(out) and out[-1] != "\n"
     text = "".join(out).lower()
-    return (text.translate(_PLAIN_SIGNS) if text.isascii() else _SIGNS.sub("", text)).split(), is_cut
+    return (text.encode().translate(None, _PLAIN_SIGNS).decode() if text.isascii() else _SIGNS.sub("", text)).split(), is_cut
 
 
 def sequence_hashes(words: np.ndarray, n: int = WORDS) -> np.ndarray:
@@ -122,10 +122,11 @@ _PART_TYPES = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.l
 def block_parts(pages: DataFrame) -> DataFrame:
     """Per document and block of PAGES pages: size, fingerprint and signature of its sequences, and its words (joined by blanks).
 
-    One exchange by (document, block) serves to drop repeated pages, to order them and to read words across pages.
+    One exchange by (document, block) and one sort serve to drop repeated pages, which then follow each other, to order
+    them and to read words across pages.
     """
     keyed = pages.where("doc_id is not null and text is not null").select("doc_id", F.col("page_no").cast("int").alias("page_no"), "text")
-    keyed = keyed.withColumn("blk", F.coalesce(F.floor(F.col("page_no") / PAGES), F.lit(-1)).cast("int")).repartition("doc_id", "blk").distinct()
+    keyed = keyed.withColumn("blk", F.coalesce(F.floor(F.col("page_no") / PAGES), F.lit(-1)).cast("int")).repartition("doc_id", "blk")
     keyed, sent = with_known_edges(keyed, pages)
     keyed = keyed.select("doc_id", "page_no", "text", "known", "blk").repartition("doc_id", "blk") if sent is None else keyed
     keyed = keyed.select("doc_id", "page_no", "text", "known", "blk").sortWithinPartitions("doc_id", "blk", "page_no", "text")
@@ -133,7 +134,7 @@ def block_parts(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = sent.value if sent is not None else None
         hashes, out = WordHashes(), []
-        now, words, cut = None, [], False
+        now, words, cut, seen = None, [], False, None
 
         def part() -> tuple:
             h = np.unique(sequence_hashes(_hashed(words, hashes)))
@@ -142,6 +143,9 @@ def block_parts(pages: DataFrame) -> DataFrame:
 
         for b in batches:
             for d, p, t, k, blk in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if (d, p, t) == seen:  # delivered twice
+                    continue
+                seen = (d, p, t)
                 if (d, blk) != now:
                     if words:
                         out.append(part())
@@ -195,14 +199,19 @@ def _most_apart(similarity: float, sigmas: float = 4.0) -> int:
     return int((1 - agree) * k + sigmas * (agree * (1 - agree) * k) ** 0.5)
 
 
-def _near(left: np.ndarray, right: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (of left, of right) of the sketches that differ in at most ``most`` places."""
-    half = left.shape[1] // 2
-    apart = np.zeros((len(left), len(right)), np.int32)
-    for i in range(half):
-        x = (left[:, None, i] ^ right[None, :, i]) | (left[:, None, i + half] ^ right[None, :, i + half])
-        apart += np.bitwise_count(x.view(np.uint64)).astype(np.int32)
-    return np.nonzero(apart <= most)
+def _near(left: np.ndarray, right: np.ndarray, most: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (of left, of right) of the sketches that differ in at most ``most`` places, some rows at a time."""
+    half, found = left.shape[1] // 2, ([], [])
+    for k in range(0, len(left), rows):
+        part = left[k : k + rows]
+        apart = np.zeros((len(part), len(right)), np.uint16)
+        for i in range(half):
+            x = (part[:, None, i] ^ right[None, :, i]) | (part[:, None, i + half] ^ right[None, :, i + half])
+            apart += np.bitwise_count(x.view(np.uint64))
+        i, j = np.nonzero(apart <= most)
+        found[0].append(i + k)
+        found[1].append(j)
+    return np.concatenate(found[0]), np.concatenate(found[1])
 
 
 def _pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:

@@ -51,10 +51,18 @@ _DECODE = str.maketrans("OoDQIl|!", "00001111")
 _HEAD, _TAIL, _REST = re.compile(rf"({WORD_PY})[{HYPHENS}]$"), re.compile(rf"\s*({WORD_PY})"), re.compile(r"\s*\S+")
 
 
+# the same for lines of ASCII signs, as a table of bytes
+_FOLD_BYTES = bytes(ord(_FOLD[i]) if isinstance(_FOLD.get(i), str) else i for i in range(256))
+_FOLD_GONE = bytes(i for i in range(128) if i in _FOLD and _FOLD[i] is None)
+
+
 def fold(line: str) -> str:
     """The line in a form in which scanning errors, numbers, spaces and punctuation make no difference."""
     s = line.lower().replace("rn", "m").replace("ri", "n").replace("vv", "w").replace("cl", "d").replace("ti", "h").replace("fi", "h")
-    return re.sub("#+", "#", s.translate(_FOLD))
+    s = s.encode().translate(_FOLD_BYTES, _FOLD_GONE).decode() if s.isascii() else s.translate(_FOLD)
+    while "##" in s:
+        s = s.replace("##", "#")
+    return s
 
 
 def numbered_lines(text: str) -> list[tuple[int, str]]:
@@ -81,12 +89,25 @@ def edge_lines(text: str) -> list[tuple[int, str]]:
     return top + low[::-1]
 
 
+class _Forms(dict):
+    """Hashes of folded lines, None for a number alone; running heads come again and again."""
+
+    def __missing__(self, line: str) -> int | None:
+        import xxhash
+
+        if len(self) > 50_000:
+            self.clear()
+        f = fold(line)
+        self[line] = h = xxhash.xxh64_intdigest(f) - (1 << 63) if len(f) > 1 else None
+        return h
+
+
+_forms = _Forms()
+
+
 def edge_forms(near: list[tuple[int, str]]) -> list[tuple[int, int]]:
     """(line number, hash of its folded form) of edge lines; lines that are a number alone have no form."""
-    import xxhash
-
-    folded = ((no, fold(x)) for no, x in near)
-    return [(no, xxhash.xxh64_intdigest(f) - (1 << 63)) for no, f in folded if len(f) > 1]
+    return [(no, f) for no, x in near if (f := _forms[x]) is not None]
 
 
 def furniture_numbers(lines: list[tuple[int, str]], near: set[int], page_no: int | None) -> list[int]:
