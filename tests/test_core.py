@@ -1,19 +1,15 @@
-"""Fixtures with known results, and the SQL of a few queries on the smallest tables."""
+"""Fixtures with known results, and operators against brute force."""
 
 import random
 import textwrap
 import uuid
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from testimonia.plans import QUERIES, SQL
 from testimonia.functions import text as T
 from testimonia.operators import corpus, graph, ordered, parsing
 
-DATA = "/root/testdata/sf0.001"
-
 
 def test_word_count_and_titles(spark):
     r = spark.createDataFrame([("It's a half-open door - no?", "CAPT ROE"), ("", "MISS FEN ISC")], "a string, b string")
@@ -132,22 +128,3 @@ def test_quote_spans(spark):
     start, end = T.quote_span(F.col("t"), F.col("q"))
     got = spark.createDataFrame([r[:2] for r in rows], "t string, q string").select(start, end).collect()
     assert [None if r[0] is None else tuple(r) for r in got] == [w for _, _, w in rows]
-
-
-@pytest.mark.parametrize("name", ["s1_registry_latest", "a1_speaker_words", "a8_witness", "t12_alias_index", "j11_comentions", "g1_neighbourhood"])
-def test_sql_agrees(spark, name):
-    con = duckdb.connect()
-    for t in ("registry", "pages", "turns", "cues", "chunks", "mentions", "claims", "entities", "surfaces"):
-        con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
-    mine = QUERIES[name](spark, DATA)
-    sql = con.sql(SQL[name])
-    order = sorted(sql.columns)
-    want = sorted(map(str, sql.select(", ".join(f'"{c}"' for c in order)).fetchall()))
-    assert sorted(map(str, (tuple(r) for r in mine.select(*order).collect()))) == want
-
-
-def test_point_parity_sql_agrees(spark):
-    con = duckdb.connect()
-    for t in ("registry", "chunks"):
-        con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
-    assert tuple(QUERIES["v3_point_parity"](spark, DATA).first()) == con.sql(SQL["v3_point_parity"]).fetchall()[0]
