@@ -1,7 +1,8 @@
 """Variant spellings of names, linked to the entities they mean.
 
 Each distinct writing is brought to a few comparable forms (title and surname, initial and surname, given name and
-surname, the whole writing for aliases, words of an organisation in several orders). Forms that equal a form of an entity are found by a hash join.
+surname, the whole writing for aliases, words of an organisation in several orders). Forms that equal a form of an entity
+are found by a hash join; names of bodies with shortened words by a join of their words' first letters, confirmed word by word.
 The others go through a pigeonhole join: a form of an entity is cut into three segments, one of which survives any
 single slip (a letter more, less or another, or two exchanged), so that substrings of the writing, shifted by at most
 one place, find it in an inverted index of segments; a banded edit distance verifies what is found.
@@ -23,14 +24,6 @@ from testimonia.sources.tables import table
 SEGMENTS = 3
 #: Entity forms up to this number are broadcast, their number being counted first; more are shuffled.
 BROADCAST_FORMS = 300_000
-# Abbreviations in names of bodies.
-ABBREVIATIONS = {
-    "nat": "national", "natl": "national", "prov": "provincial", "indep": "independent", "ind": "independent", "mun": "municipal", "munic": "municipal",
-    "centr": "central", "cent": "central", "cntrl": "central", "intl": "international", "int": "interim", "spec": "special", "jt": "joint", "jnt": "joint",
-    "agcy": "agency", "ag": "agency", "auth": "authority", "comm": "commission", "dir": "directorate", "div": "division", "off": "office", "sec": "secretariat",
-    "secr": "secretariat", "bur": "bureau", "coun": "council", "cncl": "council", "bd": "board", "brd": "board", "dept": "department", "dep": "department",
-    "inst": "institute", "govt": "government", "min": "ministry", "assoc": "association", "corp": "corporation", "engin": "engineering", "eng": "engineering",
-}
 # Words that may be left out of a name of a body, and legal forms.
 FILLERS = frozenset("the of for and & pty proprietary ltd limited inc plc cc npc".split())
 _TITLE = re.compile(r"^(" + "|".join(sorted((re.escape(t).replace(r"\-", r"\.?[\s-]+") for t in [*TITLES, "LT-GENERAL", "MAJ-GENERAL", "LIEUTENANT-GEN", "MAJOR-GEN", "LTGEN", "MAJGEN"]), key=len, reverse=True)) + r")\b\.?\s*", re.I)
@@ -105,7 +98,11 @@ def body_words(text: str) -> list[str]:
     if len(parts) == 2:
         t = parts[1] + " " + parts[0]
     words = [w for w in _SPLIT.split(re.sub(r"(?<=\w)\.(?=\w\.)", "", t.replace("-", "").replace("'", ""))) if w]
-    return [ABBREVIATIONS.get(w, w) for w in words if w not in FILLERS]
+    return [w for w in words if w not in FILLERS]
+
+
+def initials(words: list[str]) -> str:
+    return "".join(w[0] for w in words)
 
 
 def body_forms(text: str) -> list[tuple[str, str, str, str]]:
@@ -113,6 +110,8 @@ def body_forms(text: str) -> list[tuple[str, str, str, str]]:
     if not words:
         return []
     out = [("org", "", "", "".join(words))]
+    if len(words) > 1:
+        out.append(("short", "", initials(words), " ".join(words)))
     short = re.sub(r"^the ", "", bare(text)).replace(".", "").replace(" ", "")
     if short.isalnum() and 2 <= len(short) <= 8:
         out.append(("acronym", "", short, ""))
@@ -178,6 +177,8 @@ def entity_forms(entities: list[dict]) -> list[tuple[str, str, str, str, str, st
                 for o in orders:
                     if o and (len(w) > 1 or not n.isupper()):
                         out.add((i, "org", "org", "", "", "".join(o)))
+                    if len(o) > 1:
+                        out.add((i, "org", "short", "", initials(o), " ".join(o)))
                 short = bare(n).replace(".", "").replace(" ", "")
                 if n.isupper() and short.isalnum() and 2 <= len(short) <= 8:
                     out.add((i, "org", "acronym", "", short, ""))
@@ -233,6 +234,22 @@ def one_slip(a: Column, b: Column) -> Column:
     return F.when(d.between(0, 1), d).when((d == 2) & (F.length(a) == F.length(b)) & (F.length(b) > 1) & swapped, F.lit(1))
 
 
+def abbreviated(a: Column, b: Column) -> Column:
+    """Slips (0 or 1) if every word of ``a`` is the word of ``b`` at its place or short for it, one word at most having a slip; else null.
+
+    A word is short for another if it begins with its letter and its own letters, two at least, stand in the other one in
+    their order. One word must be written in full.
+    """
+    letters = lambda x: F.sort_array(F.split(x, ""))
+    short = lambda x, y: (F.length(x) >= 2) & (F.length(x) < F.length(y)) & F.call_function("rlike", y, F.concat(F.lit("^"), F.regexp_replace(x, "(.)", "$1.*")))
+    slip = lambda x, y: (F.length(y) >= 4) & ((F.levenshtein(x, y, 1) >= 0) | ((F.length(x) == F.length(y)) & (F.levenshtein(x, y, 2) >= 0) & (letters(x) == letters(y))))
+    x, y = F.split(a, " "), F.split(b, " ")
+    # of each pair of words: 0 in full, 1 short, 2 with a slip, 9 another word
+    kinds = F.zip_with(x, y, lambda p, q: F.when(p == q, 0).when(short(p, q), 1).when(slip(p, q), 2).otherwise(9))
+    n = lambda k: F.size(F.filter(kinds, lambda v: v == k))
+    return F.when((F.size(x) == F.size(y)) & (n(0) > 0) & (n(9) == 0) & (n(2) <= 1), n(2))
+
+
 def resolve(writings: DataFrame, entities: DataFrame) -> DataFrame:
     """(type, writing, entity_id) of the distinct writings that mean one entity.
 
@@ -259,11 +276,14 @@ def resolve(writings: DataFrame, entities: DataFrame) -> DataFrame:
     cols = ["type", "writing", "title", "entity_id", "e_title"]
     loose = "kind in ('full', 'alias')"  # the first word may have the slip
     full_ok = (F.col("kind") == F.col("e_kind")) & (F.col("type") == F.col("e_type"))
-    exact_named = forms.where(f"not {loose}").join(hint(e), same & (F.col("key") == F.col("e_key")))
+    exact_named = forms.where(f"not {loose} and kind <> 'short'").join(hint(e), same & (F.col("key") == F.col("e_key")))
     exact_full = forms.where(loose).join(hint(e.where(f"e_{loose}")), full_ok & (F.col("key") == F.col("e_key")))
-    exact = written(exact_named.select(*cols).unionByName(exact_full.select(*cols)).withColumn("slips", F.lit(0)).distinct(), "exact")
-    rest = forms.join(exact.select("type", "writing").distinct(), ["type", "writing"], "left_anti")
-    index = segments(e.where("e_kind <> 'acronym'"))
+    equal = exact_named.select(*cols).unionByName(exact_full.select(*cols)).withColumn("slips", F.lit(0))
+    # shortened words: bodies whose words begin with the same letters, confirmed word by word
+    shorter = forms.where("kind = 'short'").join(hint(e.where("e_kind = 'short'")), same).withColumn("slips", abbreviated(F.col("key"), F.col("e_key"))).where("slips is not null")
+    exact = written(equal.unionByName(shorter.select(*cols, "slips")).distinct(), "exact")
+    rest = forms.where("kind <> 'short'").join(exact.select("type", "writing").distinct(), ["type", "writing"], "left_anti")
+    index = segments(e.where("e_kind not in ('acronym', 'short')"))
     hit = probes(rest).join(wide(index), ["e_len", "seg", "part"])
     hit = hit.where((F.col("type") == F.col("e_type")) & (F.col("kind") == F.col("e_kind")) & (F.expr(loose) | (F.col("fixed") == F.col("e_fixed"))))
     hit = hit.select(*cols, "kind", "fixed", "key", "e_fixed", "e_key").distinct().withColumn("slips", one_slip(F.col("key"), F.col("e_key"))).where("slips is not null")
