@@ -119,7 +119,7 @@ RARE = 32
 
 
 def shingles(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, h: hashes of the distinct sequences of n words of each document's text, layout lines left out.
+    """id (a hash of doc_id), h: hashes of the distinct sequences of n words of each document's text, layout lines left out.
 
     Sequences go on over page ends: a page takes the first words of the pages that follow it along, no more. A document of
     fewer words is one sequence. ``docs``: doc_id of the documents asked for.
@@ -136,7 +136,7 @@ def shingles(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataF
     # a short document has no sequence of n words on any of its pages
     short = p.groupBy("doc_id").agg(F.sum(F.size("w")).alias("k"), F.slice(F.sort_array(F.collect_list(F.struct("page_no", F.slice("w", 1, n).alias("w")))), 1, n).alias("ws")).where(f"k < {n}")
     short = short.select("doc_id", F.xxhash64(F.array_join(F.flatten(F.transform("ws", lambda x: x["w"])), " ")).alias("h"))
-    return long.unionByName(short).distinct()
+    return long.unionByName(short).select(F.xxhash64("doc_id").alias("id"), "h").distinct()
 
 
 def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> DataFrame:
@@ -148,19 +148,19 @@ def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> Da
     """
     have = pages.select("doc_id").distinct()
     a, b = have.select(F.col("doc_id").alias("doc_a")), have.select(F.col("doc_id").alias("doc_b"))
-    pairs = written(candidate_documents(registry).join(a, "doc_a").join(b, "doc_b"), "pairs")
+    pairs = candidate_documents(registry).join(a, "doc_a").join(b, "doc_b").select("doc_a", "doc_b", F.xxhash64("doc_a").alias("a"), F.xxhash64("doc_b").alias("b"))
+    pairs = written(pairs, "pairs")
     sets = written(shingles(pages, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id"))), "sets")
-    sizes = sets.groupBy("doc_id").agg(F.count("*").alias("n"))
+    sizes = sets.groupBy("id").agg(F.count("*").alias("n"))
     shared = written(sets.join(sets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "h"), "shared")
-    few = shared.where(F.col("c") <= RARE).groupBy("h").agg(F.sort_array(F.collect_list("doc_id")).alias("ds"))
-    met = few.select(F.posexplode("ds").alias("i", "doc_a"), "ds").select("doc_a", F.explode(F.expr("slice(ds, i + 2, size(ds))")).alias("doc_b"))
-    met = met.groupBy("doc_a", "doc_b").agg(F.count("*").alias("k"))
-    lists = shared.where(F.col("c") > RARE).groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
-    x, y = lists.select(F.col("doc_id").alias("doc_a"), F.col("hs").alias("ha")), lists.select(F.col("doc_id").alias("doc_b"), F.col("hs").alias("hb"))
-    often = pairs.join(x, "doc_a").join(y, "doc_b").select("doc_a", "doc_b", F.size(F.array_intersect("ha", "hb")).cast("long").alias("k"))
-    both = met.unionByName(often).groupBy("doc_a", "doc_b").agg(F.sum("k").alias("k"))
-    na, nb = sizes.select(F.col("doc_id").alias("doc_a"), F.col("n").alias("na")), sizes.select(F.col("doc_id").alias("doc_b"), F.col("n").alias("nb"))
-    out = pairs.join(na, "doc_a", "left").join(nb, "doc_b", "left").join(both, ["doc_a", "doc_b"], "left")
+    few = shared.where(F.col("c") <= RARE).groupBy("h").agg(F.collect_list("id").alias("ds"))
+    met = few.select(F.explode("ds").alias("a"), "ds").select("a", F.explode("ds").alias("b")).where("a <> b")
+    lists = shared.where(F.col("c") > RARE).groupBy("id").agg(F.collect_set("h").alias("hs"))
+    x, y = lists.select(F.col("id").alias("a"), F.col("hs").alias("ha")), lists.select(F.col("id").alias("b"), F.col("hs").alias("hb"))
+    often = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", F.size(F.array_intersect("ha", "hb")).cast("long").alias("k"))
+    both = met.groupBy("a", "b").agg(F.count("*").alias("k")).unionByName(often).groupBy("a", "b").agg(F.sum("k").alias("k"))
+    na, nb = sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"))
+    out = pairs.join(na, "a", "left").join(nb, "b", "left").join(both, ["a", "b"], "left")
     share = lambda n: F.coalesce(F.try_divide(F.col("k").cast("double"), F.col(n)), F.lit(0.0))
     out = out.select("doc_a", "doc_b", share("na").alias("a_in_b"), share("nb").alias("b_in_a"))
     return out.withColumn("is_duplicate", F.greatest("a_in_b", "b_in_a") >= least)
