@@ -101,21 +101,34 @@ def day_series(chunks: DataFrame) -> DataFrame:
     return c.groupBy("d").agg(F.countDistinct("chunk_id").alias("chunks"), F.sum(F.length("text").cast("long")).alias("chars"))
 
 
+def candidate_keys(registry: DataFrame) -> DataFrame:
+    """doc_id, key, side: two documents are candidates if they share a key, and have different sides where sides are set (0 and 1).
+
+    Keys are a commission's day, its date, and a day with the day after it; so the disjunction is an equality.
+    """
+    r = registry.where("sha256 is not null").select("commission_slug", F.col("sha256").alias("doc_id"), "day_no", "hearing_date").distinct()
+    key = lambda kind, c: F.xxhash64(F.lit(kind), "commission_slug", c)
+    none = F.lit(None).cast("int")
+    day, date = F.col("day_no"), F.when(F.col("hearing_date") != "", F.col("hearing_date"))
+    keys = [(key("day", day), none, day), (key("date", date), none, date), (key("next", day), F.lit(0), day), (key("next", day - 1), F.lit(1), day)]
+    rows = F.filter(F.array(*[F.when(known.isNotNull(), F.struct(k.alias("key"), side.alias("side"))) for k, side, known in keys]), lambda x: x.isNotNull())
+    return r.select("doc_id", F.explode(rows).alias("k")).select("doc_id", "k.key", "k.side").distinct()
+
+
+def _meet(left: DataFrame, right: DataFrame, on: list[str], a: str, b: str) -> DataFrame:
+    """Rows of both that share ``on`` and fit by their sides, each pair of ``a`` and ``b`` in one order, but for sides, where it comes as they are."""
+    both = left.join(right, on)
+    return both.where((F.col("sa").isNull() & F.col("sb").isNull() & (F.col(a) < F.col(b))) | ((F.col("sa") == 0) & (F.col("sb") == 1) & (F.col(a) != F.col(b))))
+
+
 def candidate_documents(registry: DataFrame) -> DataFrame:
-    """Pairs of documents with the same day, the same date or adjacent days, as a union of equality joins."""
-    r = registry.where("sha256 is not null").select("commission_slug", "sha256", "day_no", "hearing_date").distinct()
-    a = r.select("commission_slug", F.col("sha256").alias("a"), "day_no", "hearing_date")
-    b = r.select("commission_slug", F.col("sha256").alias("b"), "day_no", "hearing_date")
-    same_day = a.join(b, ["commission_slug", "day_no"])
-    same_date = a.where("hearing_date <> ''").join(b, ["commission_slug", "hearing_date"])
-    next_day = a.withColumn("day_no", F.col("day_no") + 1).join(b, ["commission_slug", "day_no"])
-    pairs = [x.select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")) for x in (same_day, same_date, next_day)]
-    return pairs[0].union(pairs[1]).union(pairs[2]).where("doc_a <> doc_b").distinct()
+    """Pairs of documents with the same day, the same date or adjacent days."""
+    k = candidate_keys(registry)
+    x, y = k.select(F.col("doc_id").alias("x"), "key", F.col("side").alias("sa")), k.select(F.col("doc_id").alias("y"), "key", F.col("side").alias("sb"))
+    return _meet(x, y, ["key"], "x", "y").select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b")).distinct()
 
 
 SHINGLE_WORDS = 10
-#: A sequence in more documents is met pair by pair of the candidates, one in fewer by its own list of documents.
-RARE = 32
 
 
 def shingles(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
@@ -142,9 +155,9 @@ def shingles(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataF
 def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> DataFrame:
     """Candidate pairs of documents with pages: the share of each one's sequences that the other has, and whether one repeats the other.
 
-    Sequences are hashed once, and only of documents in a pair. One that a single document has meets nothing; one that a
-    few have gives its pairs of documents; those that many have are short lists of each document, which the candidate
-    pairs compare. Both ways are exact, and their counts add up. A document without words has a share of 0.
+    Sequences are hashed once, and only of documents in a pair. They meet under the keys that make documents candidates,
+    so that a sequence which many documents have makes no other pairs than those asked for. A document without words has
+    a share of 0.
     """
     have = pages.select("doc_id").distinct()
     a, b = have.select(F.col("doc_id").alias("doc_a")), have.select(F.col("doc_id").alias("doc_b"))
@@ -152,13 +165,13 @@ def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> Da
     pairs = written(pairs, "pairs")
     sets = written(shingles(pages, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id"))), "sets")
     sizes = sets.groupBy("id").agg(F.count("*").alias("n"))
-    shared = written(sets.join(sets.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "h"), "shared")
-    few = shared.where(F.col("c") <= RARE).groupBy("h").agg(F.collect_list("id").alias("ds"))
-    met = few.select(F.explode("ds").alias("a"), "ds").select("a", F.explode("ds").alias("b")).where("a <> b")
-    lists = shared.where(F.col("c") > RARE).groupBy("id").agg(F.collect_set("h").alias("hs"))
-    x, y = lists.select(F.col("id").alias("a"), F.col("hs").alias("ha")), lists.select(F.col("id").alias("b"), F.col("hs").alias("hb"))
-    often = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", F.size(F.array_intersect("ha", "hb")).cast("long").alias("k"))
-    both = met.groupBy("a", "b").agg(F.count("*").alias("k")).unionByName(often).groupBy("a", "b").agg(F.sum("k").alias("k"))
+    keys = candidate_keys(registry).select(F.xxhash64("doc_id").alias("id"), "key", "side").distinct()
+    under = sets.join(keys, "id").select("id", "key", "side", F.xxhash64("key", "h").alias("kh"))
+    x, y = under.select(F.col("id").alias("x"), "key", "kh", F.col("side").alias("sa")), under.select(F.col("id").alias("y"), "kh", F.col("side").alias("sb"))
+    met = _meet(x, y, ["kh"], "x", "y").groupBy("x", "y", "key").agg(F.count("*").alias("k"))
+    # under each key the count is the whole intersection
+    both = met.groupBy("x", "y").agg(F.max("k").alias("k"))
+    both = both.select(F.col("x").alias("a"), F.col("y").alias("b"), "k").unionByName(both.select(F.col("y").alias("a"), F.col("x").alias("b"), "k")).groupBy("a", "b").agg(F.max("k").alias("k"))
     na, nb = sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"))
     out = pairs.join(na, "a", "left").join(nb, "b", "left").join(both, ["a", "b"], "left")
     share = lambda n: F.coalesce(F.try_divide(F.col("k").cast("double"), F.col(n)), F.lit(0.0))
