@@ -55,3 +55,17 @@ p as (select a.n as name_a, b.n as name_b, count(*) as k from j a join j b on a.
 select name_a, name_b from p join c ca on ca.n = name_a join c cb on cb.n = name_b cross join t
 where p.k >= 4 and p.k * t.k >= 5 * ca.k * cb.k""",
 }
+
+_B = [b.replace("'", "''") for b in pieces.BOUNDARIES]
+_B[1] = _B[1].replace("(?=", "(?:")  # what follows the cut is no part of the group
+_CUT = "coalesce(" + ", ".join(f"nullif(length(regexp_extract(w, '^{b.replace('(?s)', '(?s:', 1) + ')'}', 1)), 0)" for b in _B) + ", length(w))"
+
+SQL["p3_pieces"] = rf"""
+with c as (select distinct chunk_id, text, page_start, page_end, n_turns, coalesce(length(text), 0) as n from chunks),
+d as (select *, row_number() over () as id, case when n > 1800 then cast(ceil(n / 1200.0) as bigint) - 1 else 0 end as nc from c),
+k as (select *, unnest(range(1, nc + 1)) as k from d), w as (select *, substr(text, k * 1200 - 450 + 1, 450) as w from k),
+u as (select id, k, k * 1200 - 450 + {_CUT} as cut from w),
+a as (select id, cast(0 as bigint) as k, cast(0 as bigint) as cut from d union all select id, k, cut from u),
+e as (select a.*, coalesce(lead(cut) over (partition by id order by k), d.n) as stop, d.* exclude (id) from a join d using (id)),
+p as (select *, case when k > 0 then cut - 150 else 0 end as pa from e), q as (select *, substr(text, pa + 1, stop - pa) as piece from p)
+select chunk_id, k as piece_no, nc + 1 as n_pieces, pa as piece_start, page_start, page_end, n_turns, len(regexp_extract_all(case when k > 0 then substr(piece, 151) else piece end, '(?m)^\p{{Lu}}[\p{{Lu}} .''-]{{2,60}}:')) as turns_begun, length(piece) as n_chars, piece as text from q"""
