@@ -129,6 +129,8 @@ def candidate_documents(registry: DataFrame) -> DataFrame:
 
 
 SHINGLE_WORDS = 10
+#: Names of documents up to this number are broadcast, their number being counted first; more are shuffled.
+NAMES = 100_000
 
 
 def shingles(pages: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
@@ -159,11 +161,13 @@ def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> Da
     so that a sequence which many documents have makes no other pairs than those asked for. A document without words has
     a share of 0.
     """
-    have = pages.select("doc_id").distinct()
+    have = written(pages.select("doc_id").distinct(), "documents")
     a, b = have.select(F.col("doc_id").alias("doc_a")), have.select(F.col("doc_id").alias("doc_b"))
-    pairs = candidate_documents(registry).join(a, "doc_a").join(b, "doc_b").select("doc_a", "doc_b", F.xxhash64("doc_a").alias("a"), F.xxhash64("doc_b").alias("b"))
+    # pairs are many, so they go by numbers; names come back at the end
+    pairs = candidate_documents(registry).join(a, "doc_a").join(b, "doc_b").select(F.xxhash64("doc_a").alias("a"), F.xxhash64("doc_b").alias("b"))
     pairs = written(pairs, "pairs")
-    sets = written(shingles(pages, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id"))), "sets")
+    asked = have.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), F.xxhash64("doc_id") == F.col("id"), "left_semi")
+    sets = written(shingles(pages, asked), "sets")
     sizes = sets.groupBy("id").agg(F.count("*").alias("n"))
     keys = candidate_keys(registry).select(F.xxhash64("doc_id").alias("id"), "key", "side").distinct()
     under = sets.join(keys, "id").select("id", "key", "side", F.xxhash64("key", "h").alias("kh"))
@@ -175,5 +179,8 @@ def containment(registry: DataFrame, pages: DataFrame, least: float = 0.6) -> Da
     na, nb = sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"))
     out = pairs.join(na, "a", "left").join(nb, "b", "left").join(both, ["a", "b"], "left")
     share = lambda n: F.coalesce(F.try_divide(F.col("k").cast("double"), F.col(n)), F.lit(0.0))
-    out = out.select("doc_a", "doc_b", share("na").alias("a_in_b"), share("nb").alias("b_in_a"))
+    out = out.select("a", "b", share("na").alias("a_in_b"), share("nb").alias("b_in_a"))
+    hint = F.broadcast if have.count() <= NAMES else (lambda x: x)
+    na, nb = have.select(F.xxhash64("doc_id").alias("a"), F.col("doc_id").alias("doc_a")), have.select(F.xxhash64("doc_id").alias("b"), F.col("doc_id").alias("doc_b"))
+    out = out.join(hint(na), "a").join(hint(nb), "b").select("doc_a", "doc_b", "a_in_b", "b_in_a")
     return out.withColumn("is_duplicate", F.greatest("a_in_b", "b_in_a") >= least)
